@@ -16,6 +16,13 @@ from pairloom.functions import arrays as A, text as T
 from pairloom.operators.sizing import BROADCAST_BYTES, SALTS, join_table
 
 
+def _labelled(tokens: Column, side: int) -> Column:
+    return F.transform(
+        F.coalesce(tokens, F.array().cast("array<string>")),
+        lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), t.alias("token")),
+    )
+
+
 def map_tokens(
     df: DataFrame,
     tokens: dict[str, str],
@@ -34,13 +41,7 @@ def map_tokens(
     in token order; an empty list stays empty, a null list null.
     """
     sides = list(tokens)
-    labelled = [
-        F.transform(
-            F.coalesce(F.col(c), F.array().cast("array<string>")),
-            lambda t, i, side=side: F.struct(F.lit(side).alias("side"), i.alias("pos"), t.alias("token")),
-        )
-        for side, c in enumerate(sides)
-    ]
+    labelled = [_labelled(F.col(c), side) for side, c in enumerate(sides)]
     known = F.array(*[F.col(c).isNotNull() for c in sides]).alias("_known")
     exploded = df.select(key, *keep, known, F.concat(*labelled).alias("_t")).select(
         key, *keep, "_known", F.inline_outer("_t")

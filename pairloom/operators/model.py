@@ -31,7 +31,10 @@ def fit_classifier(
 ) -> PipelineModel:
     """Fit on ``tokens`` and ``label``. Token counts are hashed to a fixed number
     of features, so neither a vocabulary nor a row passes through the driver:
-    each iteration sums one gradient of ``features`` values up a tree."""
+    each iteration sums one gradient of ``features`` values up a tree.
+
+    Score with the saved and loaded model: a fresh one carries its training
+    summary, and with it the session, into every task."""
     counts = HashingTF(inputCol="tokens", outputCol="features", numFeatures=features)
     fit = LogisticRegression(maxIter=iterations, regParam=regularization, family="multinomial")
     if weight:

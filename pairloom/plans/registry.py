@@ -422,43 +422,53 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Models ---------------------------------------------------------------------
 
-def _splits(spark, sf_dir):
-    split = P.mark_splits(S.weighted_split(D.weighted_pairs(spark, sf_dir)))
-    return ML.with_tokens(split)
+def _model_rows(spark, sf_dir):
+    def build():
+        return ML.with_tokens(P.mark_splits(S.weighted_split(D.weighted_pairs(spark, sf_dir))))
 
+    return D.once(spark, sf_dir, "model-rows", build)
 
-def _train(rows):
-    return rows.where(F.col("split") == S.SPLIT_NAMES[0])
 
+def _fit(spark, sf_dir):
+    return ML.fit_classifier(_model_rows(spark, sf_dir).where(F.col("split") == S.SPLIT_NAMES[0]))
 
-def _fitted(spark, sf_dir):
-    rows = stored(_splits(spark, sf_dir), "model-input")
-    return ML.fit_classifier(_train(rows)), rows
+
+_models: dict[tuple[str, str], str] = {}
+
+
+def _saved_model(spark, sf_dir):
+    """Fitted and saved once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _models:
+        path = scratch_path(spark, "model")
+        ML.save_model(_fit(spark, sf_dir), path)
+        _models[key] = path
+    return _models[key]
 
 
 @query
 def fit_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _ = _fitted(spark, sf_dir)
-    return ML.loss_history(model, spark).select("iteration", _r("loss"))
+    return ML.loss_history(_fit(spark, sf_dir), spark).select("iteration", _r("loss"))
 
 
 @query
 def score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, rows = _fitted(spark, sf_dir)
-    return ML.score(model, rows, ["split"]).select("pair_id", "split", "label", "prediction", _r("loss"))
+    model = ML.load_model(_saved_model(spark, sf_dir))
+    scored = ML.score(model, _model_rows(spark, sf_dir), ["split"])
+    return scored.select("pair_id", "split", "label", "prediction", _r("loss"))
 
 
 @query
 def save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, rows = _fitted(spark, sf_dir)
-    path = scratch_path(spark, "model")
-    ML.save_model(model, path)
-    return ML.score(ML.load_model(path), rows).select("pair_id", "label", "prediction", _r("loss"))
+    path = scratch_path(spark, "model-copy")
+    ML.save_model(ML.load_model(_saved_model(spark, sf_dir)), path)
+    scored = ML.score(ML.load_model(path), _model_rows(spark, sf_dir))
+    return scored.select("pair_id", "label", "prediction", _r("loss"))
 
 
 @query
 def evaluate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, rows = _fitted(spark, sf_dir)
+    model, rows = ML.load_model(_saved_model(spark, sf_dir)), _model_rows(spark, sf_dir)
     path = scratch_path(spark, "evaluation")
     for name in S.SPLIT_NAMES[1:]:
         split = rows.where(F.col("split") == name)
