@@ -29,7 +29,7 @@ def batches(
     """One row per batch: its rows stacked in order, at most ``size`` of them."""
     placed = assign_batches(df.select(*dict.fromkeys([key, *columns])), key, size, seed, epoch)
     stacked = placed.groupBy("batch_id").agg(
-        F.array_sort(F.collect_list(F.struct("slot", *columns))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("slot", *columns))).alias("rows")
     )
     return stacked.select(
         "batch_id", F.size("rows").alias("n"), *[F.col(f"rows.{c}").alias(c) for c in columns]

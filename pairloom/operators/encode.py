@@ -20,7 +20,7 @@ def encode_samples(
     marked: DataFrame, vocab: DataFrame, key: str = "pair_id", keep: list[str] = ("label",), slots: int = A.SLOTS, **sizes
 ) -> DataFrame:
     """Marked texts to (``key``, ``keep``, ``ids``, ``segments``), a token a slot."""
-    tokens = marked.select(key, *keep, T.tokenize_marked(F.col("text")).alias("tokens"))
+    tokens = marked.repartition(key).select(key, *keep, T.tokenize_marked(F.col("text")).alias("tokens"))
     return finish_samples(token_ids(tokens, vocab, "tokens", key, list(keep), **sizes), slots)
 
 
@@ -29,7 +29,7 @@ def encode_pieces(
 ) -> DataFrame:
     """As ``encode_samples``, a vocabulary piece a slot; ``pieces`` is a stored
     table of ``wordpiece.piece_ids``."""
-    tokens = marked.select(key, *keep, T.tokenize_marked(F.col("text")).alias("tokens"))
+    tokens = marked.repartition(key).select(key, *keep, T.tokenize_marked(F.col("text")).alias("tokens"))
     special = (
         F.when(F.col("token") == T.CLS, F.array(F.lit(A.CLS_ID)))
         .when(F.col("token") == T.SEP, F.array(F.lit(A.SEP_ID)))

@@ -2,8 +2,10 @@
 
 Tables are stored DataFrames with one row per token (see ``session.stored``);
 their size decides how they are joined. All token columns of a row and all
-tables go through one explode and one regrouping by the row's unique id. That
-regrouping needs no shuffle where the input is already partitioned by the id.
+tables go through one explode and one regrouping by the row's unique id. Rows
+are partitioned by that id before they are exploded: the only shuffle moves whole
+rows, and the regrouping stays within its task. Spark drops the shuffle where the
+input is partitioned by the id already.
 """
 
 from __future__ import annotations
@@ -16,13 +18,6 @@ from pairloom.functions import arrays as A, text as T
 from pairloom.operators.sizing import BROADCAST_BYTES, SALTS, join_table
 
 
-def _labelled(tokens: Column, side: int) -> Column:
-    return F.transform(
-        F.coalesce(tokens, F.array().cast("array<string>")),
-        lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), t.alias("token")),
-    )
-
-
 def map_tokens(
     df: DataFrame,
     tokens: dict[str, str],
@@ -41,17 +36,19 @@ def map_tokens(
     in token order; an empty list stays empty, a null list null.
     """
     sides = list(tokens)
-    labelled = [_labelled(F.col(c), side) for side, c in enumerate(sides)]
     known = F.array(*[F.col(c).isNotNull() for c in sides]).alias("_known")
-    exploded = df.select(key, *keep, known, F.concat(*labelled).alias("_t")).select(
-        key, *keep, "_known", F.inline_outer("_t")
+    one_side = df.repartition(key).select(
+        key, *keep, known, F.posexplode_outer(F.array(*sides)).alias("side", "_tokens")
+    )
+    exploded = one_side.select(
+        key, *keep, "_known", "side", F.posexplode_outer("_tokens").alias("pos", "token")
     )
     joined = join_table(
         exploded, table, "token", F.struct(key, "pos"), "left", max_bytes, salts
     ).withColumn("_value", value())
     grouped = joined.groupBy(key, *keep, "_known").agg(*[
-        F.array_sort(
-            F.collect_list(F.when(F.col("side") == side, F.struct("pos", "_value")))
+        F.sort_array(
+            F.collect_list(F.when((F.col("side") == side) & F.col("pos").isNotNull(), F.struct("pos", "_value")))
         ).alias(f"_{side}")
         for side in range(len(sides))
     ])
@@ -161,7 +158,7 @@ def clean_text(
     stored ``cleaning_table``.
     """
     tokens = {f"_tok_{c}": out for c, out in columns.items()}
-    df = df.withColumns({f"_tok_{c}": T.tokenize(T.lower_text(F.col(c))) for c in columns})
+    df = df.repartition(key).withColumns({f"_tok_{c}": T.tokenize(T.lower_text(F.col(c))) for c in columns})
     base = F.when(
         F.col("known"), F.coalesce("base", "token")
     ).otherwise(F.coalesce("base", T.replace_punct(F.col("token"))))

@@ -8,6 +8,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer tasks than the cluster has cores, dealt out by ``key``.
+
+    Meant for heavy per-row work on a table of few row groups. A scan that fills
+    the cluster is left alone, so nothing large is ever shuffled here.
+    """
+    if scan.rdd.getNumPartitions() >= scan.sparkSession.sparkContext.defaultParallelism:
+        return scan
+    return scan.repartition(key)
+
+
 def collect_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame | None:
     """``df`` as a local table if it has at most ``max_rows`` rows, else None.
 

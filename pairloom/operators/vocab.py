@@ -11,9 +11,14 @@ VOCAB_SIZE = 30_000
 
 
 def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
-    """(``token``, ``n``): counted within each task before the shuffle."""
+    """(``token``, ``n``): counted within each task before the shuffle.
+
+    The outer explode is on purpose: for the plain one Catalyst infers a filter
+    on the array's size, which would tokenize every text again.
+    """
     return (
-        df.select(F.explode(tokens).alias("token"))
+        df.select(F.explode_outer(tokens).alias("token"))
+        .where("token IS NOT NULL")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )

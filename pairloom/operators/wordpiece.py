@@ -15,9 +15,9 @@ INSIDE = "##"
 def distinct_words(df: DataFrame, tokens: Column) -> DataFrame:
     """Each word of a corpus once; the special tokens are not words."""
     return (
-        df.select(F.explode(F.array_distinct(tokens)).alias("word"))
+        df.select(F.explode_outer(tokens).alias("word"))
+        .where(F.col("word").isNotNull() & ~F.col("word").isin(T.CLS, T.SEP))
         .distinct()
-        .where(~F.col("word").isin(T.CLS, T.SEP))
     )
 
 
@@ -45,38 +45,33 @@ def word_pieces(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """(``word``, ``pieces``) of a table of distinct words.
 
     Candidate pieces are the substrings of each word up to the longest piece of
-    the vocabulary; a join keeps those the vocabulary has, and the longest per
+    the vocabulary; a join marks those the vocabulary has, and the longest per
     start is what the greedy walk needs. The cost follows the distinct words,
-    not the text. No driver copy of the vocabulary, no Python worker.
+    not the text, and the words stay in the tasks that told them apart. No
+    driver copy of the vocabulary, no Python worker.
     """
-    known = vocab.select(F.col("token").alias("piece"))
+    known = vocab.select(F.col("token").alias("piece"), F.lit(True).alias("known"))
     longest = known.agg(F.coalesce(F.max(F.length("piece")), F.lit(0)).alias("n")).scalar()
-    short = words.where(F.length("word") <= MAX_WORD_CHARS)
-    starts = short.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
-    spans = starts.withColumn("_longest", longest).select(
-        "word",
-        "start",
-        F.explode(
-            F.sequence(
-                F.col("start") + 1,
-                F.least(F.length("word") + 1, F.col("start") + F.greatest("_longest", F.lit(1))),
-            )
-        ).alias("end"),
-    )
-    cut = F.expr("substring(word, start, end - start)")
+    chars = F.length("word")
+    places = F.when(chars <= MAX_WORD_CHARS, F.sequence(F.lit(1), chars))
+    starts = words.select("word", F.explode_outer(places).alias("start")).withColumn("_longest", longest)
+    last = F.least(chars + 1, F.col("start") + F.greatest("_longest", F.lit(1)))
+    spans = starts.select("word", "start", F.explode_outer(F.sequence(F.col("start") + 1, last)).alias("end"))
+    cut = F.substring("word", F.col("start"), F.col("end") - F.col("start"))
     piece = F.when(F.col("start") > 1, F.concat(F.lit(INSIDE), cut)).otherwise(cut)
-    found = (
-        join_table(spans.withColumn("piece", piece), known, "piece", F.struct("word", "start"), "left_semi")
-        .groupBy("word", "start")
-        .agg(F.max("end").alias("end"))
+    found = join_table(spans.withColumn("piece", piece), known, "piece", F.struct("word", "start"))
+    longest_at = (
+        found.groupBy("word", "start")
+        .agg(F.max(F.when(F.col("known"), F.col("end"))).alias("end"))
         .groupBy("word")
-        .agg(F.map_from_entries(F.collect_list(F.struct("start", "end"))).alias("ends"))
+        .agg(
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("end").isNotNull(), F.struct("start", "end")))
+            ).alias("ends")
+        )
     )
     unknown = F.array(F.lit(T.UNK))
-    return words.join(found, "word", "left").select(
-        "word",
-        F.coalesce(F.when(F.col("ends").isNotNull(), _walk(F.col("word"), F.col("ends"))), unknown).alias("pieces"),
-    )
+    return longest_at.select("word", F.coalesce(_walk(F.col("word"), F.col("ends")), unknown).alias("pieces"))
 
 
 def piece_ids(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -86,7 +81,7 @@ def piece_ids(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
         exploded.join(vocab.select("token", "id"), "token", "left")
         .groupBy("word")
         .agg(
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.struct("pos", F.coalesce("id", F.lit(A.UNK_ID)).alias("id")))
             ).alias("_ids")
         )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairloom.functions import text as T
 from pairloom.operators.classes import attach_weight, class_weights
 from pairloom.operators.rows import drop_any_null, mark_pairs, truncate_questions
+from pairloom.operators.sizing import spread
 from pairloom.operators.vocab import build_vocab
 from pairloom.session import stored
 
@@ -94,8 +95,12 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", T.tokenize(T.lower_text(F.col("text"))).alias("tokens")
     )
 

@@ -336,7 +336,7 @@ def argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replace_punct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("doc_id", T.replace_punct(F.col("text")).alias("text"))
+    return D.documents(spark, sf_dir).select("doc_id", T.replace_punct(F.col("text")).alias("text"))
 
 
 @query
@@ -368,8 +368,7 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaning = D.once(
         spark, sf_dir, "cleaning", lambda: L.cleaning_table(D.vocab(spark, sf_dir), D.lemmas(spark, sf_dir))
     )
-    documents = _documents(spark, sf_dir).select("doc_id", "text")
-    return L.clean_text(documents, {"text": "text"}, cleaning, key="doc_id")
+    return L.clean_text(D.documents(spark, sf_dir), {"text": "text"}, cleaning, key="doc_id")
 
 
 def _ids(spark, sf_dir):
