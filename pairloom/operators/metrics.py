@@ -85,7 +85,7 @@ def class_metrics(cells: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 def overall_metrics(cells: DataFrame, by: list[str] = ()) -> DataFrame:
-    """One row per group. Micro F1, TPR and PPV equal the accuracy, as every row
+    """One row per group, with the ``n_rows`` it rests on. Micro F1, TPR and PPV equal the accuracy, as every row
     has one label; a macro mean is null if it is for any class."""
     per_class = class_metrics(cells, by)
     actual, predicted = ((F.col("tp") + F.col(c)).cast("double") for c in ("fn", "fp"))
@@ -102,6 +102,7 @@ def overall_metrics(cells: DataFrame, by: list[str] = ()) -> DataFrame:
         ),
     )
     return per_class.groupBy(*by).agg(
+        F.sum(F.col("tp") + F.col("fn")).alias("n_rows"),
         acc.alias("overall_acc"),
         macro("f1").alias("f1_macro"),
         acc.alias("f1_micro"),

@@ -65,10 +65,19 @@ def cut_keys(df: DataFrame, fractions, key: str, weight: str, seed: int) -> Colu
 
 
 def weighted_sample(
-    df: DataFrame, fraction: float, key: str = "pair_id", weight: str = "weight", seed: int = keys.SEED
+    df: DataFrame,
+    fraction: float,
+    key: str = "pair_id",
+    weight: str = "weight",
+    seed: int = keys.SEED,
+    population: DataFrame | None = None,
 ) -> DataFrame:
-    """``round(fraction * n)`` rows without replacement, chance by weight."""
-    cuts = cut_keys(df, (fraction,), key, weight, seed)
+    """``round(fraction * n)`` rows without replacement, chance by weight.
+
+    ``population`` may name a cheaper table of the same keys and weights to find
+    the cuts in, such as a stored narrow copy.
+    """
+    cuts = cut_keys(df if population is None else population, (fraction,), key, weight, seed)
     return df.where(draw_key(key, weight, seed) <= F.try_element_at(cuts, F.lit(0)))
 
 
@@ -79,13 +88,15 @@ def weighted_split(
     key: str = "pair_id",
     weight: str = "weight",
     seed: int = keys.SEED,
+    population: DataFrame | None = None,
 ) -> DataFrame:
     """Successive weighted samples of what is left, as a ``split`` column.
 
     The draws share one order, so they are one order cut at several ranks. Each
-    row is compared with the cut keys: a narrow projection.
+    row is compared with the cut keys: a narrow projection. ``population`` as in
+    ``weighted_sample``.
     """
-    cuts = cut_keys(df, fractions, key, weight, seed)
+    cuts = cut_keys(df if population is None else population, fractions, key, weight, seed)
     drawn = df.withColumns({"_draw": draw_key(key, weight, seed), "_cuts": cuts})
     split = F.lit(None).cast("string")
     for i in reversed(range(len(names))):

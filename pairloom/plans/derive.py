@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions import text as T
-from pairloom.operators.classes import attach_weight, class_weights
 from pairloom.operators.rows import drop_any_null, mark_pairs, truncate_questions
 from pairloom.operators.sizing import spread
 from pairloom.operators.vocab import build_vocab
@@ -55,11 +54,6 @@ def complete_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_any_null(pairs(spark, sf_dir))
 
 
-def weighted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    complete = complete_pairs(spark, sf_dir)
-    return attach_weight(complete, class_weights(complete))
-
-
 def marked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_pairs(truncate_questions(complete_pairs(spark, sf_dir)))
 

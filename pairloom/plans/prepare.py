@@ -8,6 +8,7 @@ from pairloom.functions.keys import SEED
 from pairloom.operators.classes import attach_weight, class_weights
 from pairloom.operators.lookup import clean_text, cleaning_table
 from pairloom.operators.rows import drop_any_null, mark_pairs, truncate_questions, words_to_null
+from pairloom.operators.sizing import collect_small
 from pairloom.operators.split import SPLIT_NAMES, weighted_split
 from pairloom.session import stored
 from pairloom.sources.writers import materialize_once
@@ -22,11 +23,25 @@ def clean_pairs(pairs: DataFrame, vocab: DataFrame, lemmas: DataFrame, stops: li
     return pairs.select(*others).join(words_to_null(cleaned), "pair_id").select(*pairs.columns)
 
 
+def weighted_complete(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Complete rows with their balanced class weight, and their population: the
+    same ids and weights in a stored narrow table.
+
+    Counting classes and finding cut ranks then read the narrow table; the texts
+    are read once to find the complete rows and once for the result.
+    """
+    complete = drop_any_null(pairs)
+    keys = stored(complete.select("pair_id", "is_duplicate"), "keys")
+    weights = class_weights(keys).select("is_duplicate", "weight")
+    small = collect_small(weights)
+    weights = stored(weights, "weights") if small is None else small
+    return attach_weight(complete, weights), attach_weight(keys, weights)
+
+
 def split_pairs(pairs: DataFrame, seed: int = SEED) -> DataFrame:
     """Complete rows with their balanced class weight and their split."""
-    complete = drop_any_null(pairs)
-    weighted = attach_weight(complete, class_weights(complete))
-    return weighted_split(weighted, seed=seed)
+    weighted, population = weighted_complete(pairs)
+    return weighted_split(weighted, seed=seed, population=population)
 
 
 def mark_splits(splits: DataFrame) -> DataFrame:

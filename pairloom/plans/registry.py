@@ -74,8 +74,7 @@ def scan_by_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def write_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "splits")
-    split = S.weighted_split(D.weighted_pairs(spark, sf_dir))
-    writers.write_splits(split, path)
+    writers.write_splits(P.split_pairs(D.pairs(spark, sf_dir)), path)
     return spark.read.parquet(path).select("pair_id", "question1", "question2", "is_duplicate", "split")
 
 
@@ -159,8 +158,8 @@ def every_nth_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def remaining_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighted = D.weighted_pairs(spark, sf_dir)
-    return R.remaining_rows(weighted, S.weighted_sample(weighted, 0.6)).select("pair_id", "is_duplicate")
+    _, population = P.weighted_complete(D.pairs(spark, sf_dir))
+    return R.remaining_rows(population, S.weighted_sample(population, 0.6)).select("pair_id", "is_duplicate")
 
 
 @query
@@ -286,9 +285,8 @@ def running_epoch_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def report_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["run_id", "window_no"]
-    cells = runlog.report_windows(D.train_log(spark, sf_dir))
-    counts = cells.groupBy(*by).agg(F.sum("n").cast("bigint").alias("n_rows"))
-    return M.overall_metrics(cells, by).join(counts, by).select(
+    overall = M.overall_metrics(runlog.report_windows(D.train_log(spark, sf_dir)), by)
+    return overall.select(
         *by, "n_rows", *[_r(c) for c in ("overall_acc", "f1_macro", "overall_mcc", "tpr_macro", "ppv_macro")]
     )
 
@@ -314,12 +312,13 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.weighted_sample(D.weighted_pairs(spark, sf_dir), 0.6).select("pair_id", "is_duplicate")
+    weighted, population = P.weighted_complete(D.pairs(spark, sf_dir))
+    return S.weighted_sample(weighted, 0.6, population=population).select("pair_id", "is_duplicate")
 
 
 @query
 def weighted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.weighted_split(D.weighted_pairs(spark, sf_dir)).select("pair_id", "is_duplicate", "split")
+    return P.split_pairs(D.pairs(spark, sf_dir)).select("pair_id", "is_duplicate", "split")
 
 
 @query
@@ -423,7 +422,7 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _model_rows(spark, sf_dir):
     def build():
-        return ML.with_tokens(P.mark_splits(S.weighted_split(D.weighted_pairs(spark, sf_dir))))
+        return ML.with_tokens(P.mark_splits(P.split_pairs(D.pairs(spark, sf_dir))))
 
     return D.once(spark, sf_dir, "model-rows", build)
 
