@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from pairloom.operators.sizing import collect_small
+from pairloom.operators.sizing import collect_small, join_table
+from pairloom.session import stored
 
 
 def classes(df: DataFrame, column: str = "is_duplicate") -> DataFrame:
@@ -13,7 +14,10 @@ def classes(df: DataFrame, column: str = "is_duplicate") -> DataFrame:
 
 
 def class_weights(df: DataFrame, column: str = "is_duplicate") -> DataFrame:
-    """Per class ``n / (k * n_c)``: n rows, k classes, n_c rows of the class."""
+    """Per class ``n / (k * n_c)``: n rows, k classes, n_c rows of the class.
+
+    Rows are counted before they are shuffled; the totals run over one row per class.
+    """
     every_class = Window.partitionBy()
     return (
         df.where(F.col(column).isNotNull())
@@ -36,10 +40,10 @@ def attach_weight(
     """The weight of each row's class; null for a class without one.
 
     Up to ``max_classes`` weights are worked out once and broadcast. More are
-    joined by shuffle, which the adaptive skew join splits on a hot class.
+    stored, measured and joined so that a hot class is spread over many tasks.
     """
     table = weights.select(column, "weight")
     small = collect_small(table, max_classes)
     if small is not None:
         return df.join(F.broadcast(small), column, "left")
-    return df.join(table, column, "left")
+    return join_table(df, stored(table, "weights"), column, F.struct(*df.columns))

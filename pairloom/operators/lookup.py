@@ -131,11 +131,11 @@ def cleaning_table(vocab: DataFrame, lemmas: DataFrame) -> DataFrame:
     """(``token``, ``known``, ``base``): all that cleaning looks up, in one table.
 
     Cleaning takes base forms twice, so ``base`` is the base form of the base
-    form. Null where the token has none.
+    form. Null where the token has none. Both tables are stored ones.
     """
     first = lemmas.select(F.col("form").alias("token"), F.col("lemma").alias("once"))
     second = lemmas.select(F.col("form").alias("once"), F.col("lemma").alias("twice"))
-    twice = first.join(second, "once", "left").select(
+    twice = join_table(first, second, "once", F.col("token")).select(
         "token", F.coalesce("twice", "once").alias("base")
     )
     known = vocab.select("token", F.lit(True).alias("known"))

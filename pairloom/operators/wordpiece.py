@@ -78,7 +78,7 @@ def piece_ids(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
     """(``token``, ``piece_ids``): the ids of the pieces of each word, in order."""
     exploded = pieces.select("word", F.posexplode("pieces").alias("pos", "token"))
     return (
-        exploded.join(vocab.select("token", "id"), "token", "left")
+        join_table(exploded, vocab.select("token", "id"), "token", F.struct("word", "pos"))
         .groupBy("word")
         .agg(
             F.sort_array(

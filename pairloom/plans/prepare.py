@@ -33,8 +33,7 @@ def weighted_complete(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     complete = drop_any_null(pairs)
     keys = stored(complete.select("pair_id", "is_duplicate"), "keys")
     weights = class_weights(keys).select("is_duplicate", "weight")
-    small = collect_small(weights)
-    weights = stored(weights, "weights") if small is None else small
+    weights = collect_small(weights) or stored(weights, "weights")
     return attach_weight(complete, weights), attach_weight(keys, weights)
 
 
