@@ -36,19 +36,22 @@ def map_tokens(
     in token order; an empty list stays empty, a null list null.
     """
     sides = list(tokens)
-    known = F.array(*[F.col(c).isNotNull() for c in sides]).alias("_known")
     one_side = df.repartition(key).select(
-        key, *keep, known, F.posexplode_outer(F.array(*sides)).alias("side", "_tokens")
+        key, *keep, F.posexplode_outer(F.array(*sides)).alias("side", "_tokens")
     )
+    # a null list is kept as one row before the first position
     exploded = one_side.select(
-        key, *keep, "_known", "side", F.posexplode_outer("_tokens").alias("pos", "token")
-    )
+        key, *keep, "side", F.col("_tokens").isNull().alias("_missing"),
+        F.posexplode_outer("_tokens").alias("pos", "token"),
+    ).withColumn("pos", F.when(F.col("_missing"), -1).otherwise(F.col("pos"))).drop("_missing")
     joined = join_table(
         exploded, table, "token", F.struct(key, "pos"), "left", max_bytes, salts
     ).withColumn("_value", value())
-    grouped = joined.groupBy(key, *keep, "_known").agg(*[
+    grouped = joined.groupBy(key, *keep).agg(*[
         F.sort_array(
-            F.collect_list(F.when((F.col("side") == side) & F.col("pos").isNotNull(), F.struct("pos", "_value")))
+            F.collect_list(
+                F.when((F.col("side") == side) & F.col("pos").isNotNull(), F.struct("pos", "_value"))
+            )
         ).alias(f"_{side}")
         for side in range(len(sides))
     ])
@@ -56,7 +59,8 @@ def map_tokens(
         key,
         *keep,
         *[
-            F.when(F.col("_known")[side], F.col(f"_{side}")["_value"]).alias(tokens[c])
+            F.when(~(F.coalesce(F.get(f"_{side}", F.lit(0))["pos"], F.lit(0)) < 0), F.col(f"_{side}")["_value"])
+            .alias(tokens[c])
             for side, c in enumerate(sides)
         ],
     )

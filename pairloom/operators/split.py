@@ -93,16 +93,20 @@ def weighted_split(
     """Successive weighted samples of what is left, as a ``split`` column.
 
     The draws share one order, so they are one order cut at several ranks. Each
-    row is compared with the cut keys: a narrow projection. ``population`` as in
-    ``weighted_sample``.
+    row is compared with the cut keys: a narrow projection. A last fraction of 1
+    takes what is left and needs no cut; below 1, rows beyond it are dropped.
+    ``population`` as in ``weighted_sample``.
     """
-    cuts = cut_keys(df if population is None else population, fractions, key, weight, seed)
+    whole = fractions[-1] >= 1
+    limited = fractions[:-1] if whole else fractions
+    cuts = cut_keys(df if population is None else population, limited, key, weight, seed)
     drawn = df.withColumns({"_draw": draw_key(key, weight, seed), "_cuts": cuts})
-    split = F.lit(None).cast("string")
-    for i in reversed(range(len(names))):
+    split = F.lit(names[-1] if whole else None).cast("string")
+    for i in reversed(range(len(limited))):
         inside = F.col("_draw") <= F.try_element_at("_cuts", F.lit(i))
         split = F.when(inside, F.lit(names[i])).otherwise(split)
-    return drawn.withColumn("split", split).where("split IS NOT NULL").drop("_draw", "_cuts")
+    out = drawn.withColumn("split", split).drop("_draw", "_cuts")
+    return out if whole else out.where("split IS NOT NULL")
 
 
 def shuffled(

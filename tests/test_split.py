@@ -56,6 +56,14 @@ def test_split_does_not_depend_on_partitions_but_on_the_seed(spark):
     assert one != parts_of(S.weighted_split(table(spark, weights), seed=7))
 
 
+def test_a_last_fraction_below_one_leaves_rows_out(spark):
+    weights = [1.0 + i % 2 for i in range(40)]
+    split = S.weighted_split(table(spark, weights), (0.5, 0.5), ("a", "b"))
+    got = {n: {r["pair_id"] for r in split.where(F.col("split") == n).collect()} for n in "ab"}
+    order = by_hand(weights)
+    assert got == {"a": set(order[:20]), "b": set(order[20:30])} and split.count() == 30
+
+
 def test_rows_without_weight_come_last(spark):
     weights = [0.0 if i % 3 else 1.0 for i in range(90)]
     train, valid, test = parts_of(S.weighted_split(table(spark, weights)))
