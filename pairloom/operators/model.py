@@ -12,6 +12,7 @@ from pairloom.functions import arrays as A, text as T
 from pairloom.functions.keys import SEED
 from pairloom.operators import metrics as M
 from pairloom.operators.batches import assign_batches
+from pairloom.session import stored
 
 FEATURES = 2**16
 _SMALLEST = 1e-300
@@ -36,7 +37,9 @@ def fit_classifier(
     Score with the saved and loaded model: a fresh one carries its training
     summary, and with it the session, into every task."""
     counts = HashingTF(inputCol="tokens", outputCol="features", numFeatures=features)
-    fit = LogisticRegression(maxIter=iterations, regParam=regularization, family="multinomial")
+    fit = LogisticRegression(
+        maxIter=iterations, regParam=regularization, family="multinomial", standardization=False
+    )
     if weight:
         fit.setWeightCol(weight)
     return Pipeline(stages=[counts, fit]).fit(train)
@@ -84,7 +87,8 @@ def evaluate_split(
     eight overall metrics and its mean batch loss. None before ``validate_from``."""
     if epoch + 1 < validate_from:
         return None
-    scored = score(model, rows)
+    # stored narrow, so that the texts are scored once for metrics and loss
+    scored = stored(score(model, rows).select("pair_id", "label", "prediction", "loss"), "scored")
     overall = M.metrics_long(M.overall_metrics(M.confusion(scored)), split)
     per_batch = M.batch_losses(assign_batches(scored.select("pair_id", "loss"), seed=seed, epoch=epoch))
     loss = M.mean_loss(per_batch).select(

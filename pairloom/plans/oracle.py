@@ -267,13 +267,30 @@ ORACLE: dict[str, str] = {
                   || ' [SEP] ' AS text, is_duplicate AS label, split FROM split""",
     ),
     "append_metrics": _with(
-        "train_log epoch_losses",
-        f"""SELECT '{RUN}' AS run_id, NULL AS parent_run_id, NULL::INTEGER AS epoch, name, value,
-                   'train_main' AS run_type FROM ({_long('train')})
-            UNION ALL
-            SELECT run_id, '{RUN}', epoch::INTEGER, 'train_loss', round(train_loss, 6), 'train_child'
-            FROM epoch_losses""",
-        _metrics("SELECT label, prediction, count(*) AS n FROM train_log GROUP BY label, prediction"),
+        "train_log reports epoch_losses windowed",
+        f"""SELECT run_id, parent_run_id, epoch::INTEGER AS epoch, step, name, round(value, 6) AS value, run_type
+            FROM (
+                SELECT run_id, '{RUN}' AS parent_run_id, epoch, report_no AS step, name, value, 'train_child' AS run_type
+                FROM (SELECT run_id, epoch, report_no, unnest(['step', 'train_step_loss', 'train_avg_loss']) AS name,
+                             unnest([report_no::DOUBLE, step_loss, avg(step_loss) OVER (
+                                 PARTITION BY run_id, epoch ORDER BY report_no ROWS UNBOUNDED PRECEDING)]) AS value
+                      FROM reports)
+                UNION ALL
+                SELECT run_id, '{RUN}', epoch, report_no, name, value, 'train_child'
+                FROM (SELECT run_id, window_no, epoch, step // 100 AS report_no FROM windowed WHERE step % 100 = 0)
+                JOIN (SELECT run_id, window_no, unnest([{_list(f'{n} train' for n, _ in _LOG_NAMES)}]) AS name,
+                             unnest([{', '.join(c for _, c in _LOG_NAMES)}]) AS value FROM overall)
+                     USING (run_id, window_no)
+                UNION ALL
+                SELECT run_id, '{RUN}', epoch, NULL, unnest(['epoch', 'train_loss']),
+                       unnest([(epoch + 1)::DOUBLE, train_loss]), 'train_child' FROM epoch_losses
+                UNION ALL
+                SELECT run_id, NULL, epoch, NULL, 'train_loss', train_loss, 'train_main' FROM epoch_losses)""",
+        _metrics(
+            "SELECT run_id, window_no, label, prediction, count(*) AS n FROM windowed GROUP BY ALL",
+            "run_id, window_no,",
+            "run_id, window_no",
+        ),
     ),
     "drop_any_null": _with("pairs complete", "SELECT * FROM complete"),
     "null_tokens": _with(

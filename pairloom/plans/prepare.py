@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from pairloom.functions.keys import SEED
 from pairloom.operators.classes import attach_weight, class_weights
@@ -15,12 +15,19 @@ from pairloom.sources.writers import materialize_once
 
 
 def clean_pairs(pairs: DataFrame, vocab: DataFrame, lemmas: DataFrame, stops: list[str] = ()) -> DataFrame:
-    """Both questions cleaned; other columns carried through by a join on the id."""
+    """Both questions cleaned. Other columns travel along if all are numbers or
+    flags, and are joined back on the id if any is wide."""
     table = stored(cleaning_table(vocab, lemmas), "cleaning")
     questions = {"question1": "question1", "question2": "question2"}
-    cleaned = clean_text(pairs.select("pair_id", *questions), questions, table, stops)
-    others = [c for c in pairs.columns if c not in questions]
-    return pairs.select(*others).join(words_to_null(cleaned), "pair_id").select(*pairs.columns)
+    others = [f for f in pairs.schema.fields if f.name not in ("pair_id", *questions)]
+    names = [f.name for f in others]
+    narrow = all(isinstance(f.dataType, (T.NumericType, T.BooleanType)) for f in others)
+    cleaned = clean_text(
+        pairs.select("pair_id", *questions, *names), questions, table, stops, keep=names if narrow else []
+    )
+    if not narrow:
+        cleaned = cleaned.join(pairs.select("pair_id", *names), "pair_id")
+    return words_to_null(cleaned, *questions).select(*pairs.columns)
 
 
 def weighted_complete(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from pairloom.operators.encode import encode_pieces, encode_samples
 from pairloom.operators.progress import with_progress
 from pairloom.operators.wordpiece import distinct_words, piece_ids, word_pieces
 from pairloom.plans import derive as D, prepare as P
+from pairloom.plans.report import training_rows
 from pairloom.session import scratch_path, stored
 from pairloom.sources import readers, writers
 
@@ -89,16 +90,15 @@ def materialize_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def append_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "metrics")
-    cells = M.confusion(D.train_log(spark, sf_dir))
-    train = M.metrics_long(M.overall_metrics(cells), "train").withColumn("run_id", F.lit(D.RUN))
-    epochs = runlog.epoch_losses(D.train_log(spark, sf_dir)).select(
+    log, properties = D.train_log(spark, sf_dir), {"model_name": "pairs"}
+    rows = training_rows(log)
+    epochs = runlog.epoch_losses(log).select(
         "run_id", "epoch", F.lit("train_loss").alias("name"), F.col("train_loss").alias("value")
     )
-    properties = {"run_type": "train_main", "model_name": "pairs"}
-    writers.append_metrics(train, path, properties)
-    writers.append_metrics(epochs, path, {**properties, "run_type": "train_child"}, D.RUN)
+    writers.append_metrics(rows, path, {**properties, "run_type": "train_child"}, D.RUN)
+    writers.append_metrics(epochs, path, {**properties, "run_type": "train_main"})
     return writers.read_metrics(spark, path).select(
-        "run_id", "parent_run_id", "epoch", "name", _r("value"), F.col("properties")["run_type"].alias("run_type")
+        "run_id", "parent_run_id", "epoch", "step", "name", _r("value"), F.col("properties")["run_type"].alias("run_type")
     )
 
 

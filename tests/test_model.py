@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +27,22 @@ def test_fit_reports_a_falling_loss(spark, rows):
     assert losses[-1] < losses[0]
 
 
+def test_fit_reaches_the_optimum_of_its_objective(spark, rows):
+    """The gradient of mean cross entropy plus the penalty, worked out by hand."""
+    noisy = rows.withColumn("label", F.when(F.col("pair_id") % 7 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    reg, size = 0.05, 32
+    model = ML.fit_classifier(noisy, features=size, iterations=200, regularization=reg)
+    data = [(r["features"].toArray(), r["label"]) for r in model.stages[0].transform(noisy).collect()]
+    x, y = np.array([d[0] for d in data]), np.array([d[1] for d in data])
+    fit = model.stages[-1]
+    weights, bias = fit.coefficientMatrix.toArray(), fit.interceptVector.toArray()
+    scores = x @ weights.T + bias
+    odds = np.exp(scores - scores.max(axis=1, keepdims=True))
+    error = odds / odds.sum(axis=1, keepdims=True) - np.eye(2)[y]
+    assert np.abs(error.T @ x / len(y) + reg * weights).max() < 1e-4
+    assert np.abs(error.mean(axis=0)).max() < 1e-4
+
+
 def test_score_and_evaluate(spark, rows, saved):
     model = ML.load_model(saved)
     scored = ML.score(model, rows).collect()

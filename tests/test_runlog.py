@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from pairloom.operators import rows as R, runlog
+from pairloom.plans.report import training_rows
 
 EVERY = 10
 RUNS = {"steady": [33, 33, 33], "ragged": [25, 4, 1, 0, 47, 10], "short": [3, 5], "single": [1, 1, 1], "exact": [20, 20]}
@@ -86,6 +87,38 @@ def test_report_windows_carry_over(log, replayed):
     assert sizes == [10, 10, 10, 13, 10, 10, 13, 10, 10]
 
 
+def test_segments_stand_for_the_log(log):
+    parts = runlog.segments(log, EVERY, ["label", "prediction"])
+    plain = {(r["run_id"], r["epoch"]): r["train_loss"] for r in runlog.epoch_losses(log).collect()}
+    again = {(r["run_id"], r["epoch"]): r["train_loss"] for r in runlog.epoch_losses(parts).collect()}
+    assert plain.keys() == again.keys() and all(math.isclose(plain[k], again[k]) for k in plain)
+    one, two = (runlog.report_windows(x, EVERY).orderBy("run_id", "window_no", "label", "prediction").collect()
+                for x in (log, parts))
+    assert one == two
+
+
+def test_report_places(log, replayed):
+    got = {(r["run_id"], r["window_no"]): (r["epoch"], r["report_no"]) for r in runlog.report_places(log, EVERY).collect()}
+    want = {(run, i): report[:2] for run, (reports, _, _) in replayed.items() for i, report in enumerate(reports)}
+    assert got == want
+
+
+def test_training_rows(log, replayed):
+    rows = training_rows(log, EVERY).where("run_id = 'ragged'").collect()
+    reports, _, epochs = replayed["ragged"]
+    assert len(rows) == 11 * len(reports) + 2 * len(epochs)
+    found = {(r["epoch"], r["step"], r["name"]): r["value"] for r in rows}
+    assert len(found) == len(rows)
+    for epoch, number, step_loss, avg_loss in reports:
+        assert found[(epoch, number, "step")] == number
+        assert math.isclose(found[(epoch, number, "train_step_loss")], step_loss)
+        assert math.isclose(found[(epoch, number, "train_avg_loss")], avg_loss)
+        assert 0 <= found[(epoch, number, "Overall ACC train")] <= 1
+    for epoch, loss in epochs.items():
+        assert found[(epoch, None, "epoch")] == epoch + 1
+        assert math.isclose(found[(epoch, None, "train_loss")], loss)
+
+
 def test_every_nth_step(log):
     rows = R.every_nth_step(log, EVERY).where("run_id = 'steady'").collect()
     assert sorted((r["epoch"], r["report_no"]) for r in rows) == [(e, n) for e in range(3) for n in (1, 2, 3)]
