@@ -39,10 +39,11 @@ def map_tokens(
     one_side = df.repartition(key).select(
         key, *keep, F.posexplode_outer(F.array(*sides)).alias("side", "_tokens")
     )
-    # a null list is kept as one row before the first position
-    exploded = one_side.select(
-        key, *keep, "side", F.col("_tokens").isNull().alias("_missing"),
-        F.posexplode_outer("_tokens").alias("pos", "token"),
+    # a null list is kept as one row before the first position; flagged ahead of
+    # the explode, as otherwise each token would carry its whole list along
+    flagged = one_side.withColumn("_missing", F.col("_tokens").isNull())
+    exploded = flagged.select(
+        key, *keep, "side", "_missing", F.posexplode_outer("_tokens").alias("pos", "token")
     ).withColumn("pos", F.when(F.col("_missing"), -1).otherwise(F.col("pos"))).drop("_missing")
     joined = join_table(
         exploded, table, "token", F.struct(key, "pos"), "left", max_bytes, salts

@@ -13,6 +13,15 @@ from pairloom.operators.wordpiece import distinct_words, piece_ids, word_pieces
 WAYS = [{}, {"max_bytes": 0, "salts": 4}]  # broadcast, salted shuffle
 
 
+@pytest.fixture(autouse=True)
+def no_broadcast_unless_asked_for(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
 def tokens_table(spark, lists, label=7):
     return spark.createDataFrame([(i, label, t) for i, t in enumerate(lists)],
                                  "pair_id long, label int, tokens array<string>")
@@ -133,3 +142,7 @@ def test_regrouping_needs_one_shuffle(spark, vocab):
     df = tokens_table(spark, LISTS)
     plan = L.token_ids(df, vocab)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+    exploded = plan[plan.index("Generate posexplode(_tokens"):].split("true")[0]
+    assert exploded.count("_tokens") == 1  # a token does not carry its list
+    salted = L.token_ids(df, vocab, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in salted and "_salt" in salted
