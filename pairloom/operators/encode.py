@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.functions import arrays as A, text as T
-from pairloom.operators.lookup import map_tokens, token_ids
+from pairloom.operators.lookup import piece_id_lists, token_ids
 
 
 def finish_samples(df: DataFrame, slots: int = A.SLOTS) -> DataFrame:
@@ -20,8 +20,8 @@ def encode_samples(
     marked: DataFrame, vocab: DataFrame, key: str = "pair_id", keep: list[str] = ("label",), slots: int = A.SLOTS, **sizes
 ) -> DataFrame:
     """Marked texts to (``key``, ``keep``, ``ids``, ``segments``), a token a slot."""
-    tokens = marked.repartition(key).select(key, *keep, T.tokenize_marked(F.col("text")).alias("tokens"))
-    return finish_samples(token_ids(tokens, vocab, "tokens", key, list(keep), **sizes), slots)
+    tokens = T.tokenize_marked(F.col("text"))
+    return finish_samples(token_ids(marked, vocab, tokens, key, list(keep), **sizes), slots)
 
 
 def encode_pieces(
@@ -29,11 +29,5 @@ def encode_pieces(
 ) -> DataFrame:
     """As ``encode_samples``, a vocabulary piece a slot; ``pieces`` is a stored
     table of ``wordpiece.piece_ids``."""
-    tokens = marked.repartition(key).select(key, *keep, T.tokenize_marked(F.col("text")).alias("tokens"))
-    special = (
-        F.when(F.col("token") == T.CLS, F.array(F.lit(A.CLS_ID)))
-        .when(F.col("token") == T.SEP, F.array(F.lit(A.SEP_ID)))
-        .otherwise(F.coalesce("piece_ids", F.array(F.lit(A.UNK_ID))))
-    )
-    out = map_tokens(tokens, {"tokens": "ids"}, pieces, lambda: special, key, list(keep), **sizes)
-    return finish_samples(out.withColumn("ids", F.flatten("ids")), slots)
+    tokens = T.tokenize_marked(F.col("text"))
+    return finish_samples(piece_id_lists(marked, pieces, tokens, key, list(keep), **sizes), slots)

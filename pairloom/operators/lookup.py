@@ -1,11 +1,12 @@
 """Token by token lookups in a table: ids, rows, vectors, base forms.
 
 Tables are stored DataFrames with one row per token (see ``session.stored``);
-their size decides how they are joined. All token columns of a row and all
-tables go through one explode and one regrouping by the row's unique id. Rows
-are partitioned by that id before they are exploded: the only shuffle moves whole
-rows, and the regrouping stays within its task. Spark drops the shuffle where the
-input is partitioned by the id already.
+their measured size decides how they are met:
+
+- a small one becomes a constant of the plan: a narrow projection;
+- a larger one is broadcast or, beyond that, joined by salted shuffle. Rows are
+  partitioned by their unique id, tokenized, exploded and regrouped there, so
+  whole texts move once and the regrouping moves nothing.
 """
 
 from __future__ import annotations
@@ -15,29 +16,36 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import arrays as A, text as T
-from pairloom.operators.sizing import BROADCAST_BYTES, SALTS, join_table
+from pairloom.operators.sizing import BROADCAST_BYTES, LITERAL_BYTES, SALTS, join_table, literal_lookup
 
 
 def map_tokens(
     df: DataFrame,
-    tokens: dict[str, str],
+    tokens: dict[str, Column],
     table: DataFrame,
-    value: Callable[[], Column],
+    hit: Column,
+    value: Callable[[Column, Column], Column],
     key: str = "pair_id",
     keep: list[str] = (),
+    literal_bytes: int = LITERAL_BYTES,
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Replace each token by ``value()``, an expression over ``token`` and the
-    columns of ``table`` (null where the table lacks the token).
+    """Replace each token by ``value(token, hit)``, where ``hit`` is an expression
+    over the columns of ``table`` for that token, null where the table lacks it.
 
-    ``tokens`` maps token column -> output column. The result has ``key``, the
-    ``keep`` columns (small ones: they travel with each token) and the outputs,
-    in token order; an empty list stays empty, a null list null.
+    ``tokens`` maps output column -> token list. The result has ``key``, the
+    ``keep`` columns (small ones: in a join they travel with each token) and the
+    outputs, in token order; an empty list stays empty, a null list null.
     """
-    sides = list(tokens)
+    found = literal_lookup(table, "token", hit, literal_bytes)
+    if found is not None:
+        return df.select(
+            key, *keep, *[F.transform(c, lambda t: value(t, found(t))).alias(o) for o, c in tokens.items()]
+        )
+    outputs = list(tokens)
     one_side = df.repartition(key).select(
-        key, *keep, F.posexplode_outer(F.array(*sides)).alias("side", "_tokens")
+        key, *keep, F.posexplode_outer(F.array(*tokens.values())).alias("side", "_tokens")
     )
     # a null list is kept as one row before the first position; flagged ahead of
     # the explode, as otherwise each token would carry its whole list along
@@ -45,89 +53,109 @@ def map_tokens(
     exploded = flagged.select(
         key, *keep, "side", "_missing", F.posexplode_outer("_tokens").alias("pos", "token")
     ).withColumn("pos", F.when(F.col("_missing"), -1).otherwise(F.col("pos"))).drop("_missing")
-    joined = join_table(
-        exploded, table, "token", F.struct(key, "pos"), "left", max_bytes, salts
-    ).withColumn("_value", value())
-    grouped = joined.groupBy(key, *keep).agg(*[
+    hits = table.select("token", hit.alias("_hit"))
+    joined = join_table(exploded, hits, "token", F.struct(key, "pos"), "left", max_bytes, salts)
+    changed = joined.withColumn("_value", value(F.col("token"), F.col("_hit")))
+    grouped = changed.groupBy(key, *keep).agg(*[
         F.sort_array(
             F.collect_list(
                 F.when((F.col("side") == side) & F.col("pos").isNotNull(), F.struct("pos", "_value"))
             )
         ).alias(f"_{side}")
-        for side in range(len(sides))
+        for side in range(len(outputs))
     ])
     return grouped.select(
         key,
         *keep,
         *[
             F.when(~(F.coalesce(F.get(f"_{side}", F.lit(0))["pos"], F.lit(0)) < 0), F.col(f"_{side}")["_value"])
-            .alias(tokens[c])
-            for side, c in enumerate(sides)
+            .alias(output)
+            for side, output in enumerate(outputs)
         ],
     )
 
 
+def _special_or(token: Column, otherwise: Column, cls: Column, sep: Column) -> Column:
+    return F.when(token == T.CLS, cls).when(token == T.SEP, sep).otherwise(otherwise)
+
+
 def token_ids(
-    df: DataFrame, vocab: DataFrame, tokens: str = "tokens", key: str = "pair_id", keep: list[str] = (), **sizes
+    df: DataFrame, vocab: DataFrame, tokens: str | Column = "tokens", key: str = "pair_id",
+    keep: list[str] = (), **sizes,
 ) -> DataFrame:
     """``ids``: the vocabulary id of each token, special tokens included, and
     the unknown id for the rest."""
-    special = (
-        F.when(F.col("token") == T.CLS, A.CLS_ID)
-        .when(F.col("token") == T.SEP, A.SEP_ID)
-        .otherwise(F.coalesce("id", F.lit(A.UNK_ID)))
-    )
-    return map_tokens(
-        df, {tokens: "ids"}, vocab.select("token", "id"), lambda: special, key, keep, **sizes
-    )
+    def value(token, hit):
+        return _special_or(token, F.coalesce(hit, F.lit(A.UNK_ID)), F.lit(A.CLS_ID), F.lit(A.SEP_ID))
+
+    return map_tokens(df, {"ids": _column(tokens)}, vocab, F.col("id"), value, key, keep, **sizes)
+
+
+def piece_id_lists(
+    df: DataFrame, pieces: DataFrame, tokens: str | Column = "tokens", key: str = "pair_id",
+    keep: list[str] = (), **sizes,
+) -> DataFrame:
+    """``ids``: the ids of the pieces of each token, one list per text. ``pieces``
+    is a stored table of ``wordpiece.piece_ids``."""
+    def one(i):
+        return F.array(F.lit(i))
+
+    def value(token, hit):
+        return _special_or(token, F.coalesce(hit, one(A.UNK_ID)), one(A.CLS_ID), one(A.SEP_ID))
+
+    out = map_tokens(df, {"ids": _column(tokens)}, pieces, F.col("piece_ids"), value, key, keep, **sizes)
+    return out.withColumn("ids", F.flatten("ids"))
 
 
 def vocab_rows(
-    df: DataFrame, vocab: DataFrame, tokens: str = "tokens", key: str = "pair_id", keep: list[str] = (), **sizes
+    df: DataFrame, vocab: DataFrame, tokens: str | Column = "tokens", key: str = "pair_id",
+    keep: list[str] = (), **sizes,
 ) -> DataFrame:
     """``rows``: the row number of each token's vector, null if it has none."""
     return map_tokens(
-        df, {tokens: "rows"}, vocab.select("token", "row"), lambda: F.col("row"), key, keep, **sizes
+        df, {"rows": _column(tokens)}, vocab, F.col("row"), lambda token, hit: hit, key, keep, **sizes
     )
 
 
 def word_vectors(
-    df: DataFrame, vectors: DataFrame, tokens: str = "tokens", key: str = "pair_id", keep: list[str] = (), **sizes
+    df: DataFrame, vectors: DataFrame, tokens: str | Column = "tokens", key: str = "pair_id",
+    keep: list[str] = (), **sizes,
 ) -> DataFrame:
     """``vectors``: the vector of each token, null if it has none."""
     return map_tokens(
-        df, {tokens: "vectors"}, vectors.select("token", "vector"), lambda: F.col("vector"), key, keep, **sizes
+        df, {"vectors": _column(tokens)}, vectors, F.col("vector"), lambda token, hit: hit, key, keep, **sizes
     )
 
 
 def lemmatize(
-    df: DataFrame, lemmas: DataFrame, tokens: str = "tokens", key: str = "pair_id", keep: list[str] = (), **sizes
+    df: DataFrame, lemmas: DataFrame, tokens: str | Column = "tokens", key: str = "pair_id",
+    keep: list[str] = (), **sizes,
 ) -> DataFrame:
     """``lemmas``: the base form of each token; unknown forms unchanged."""
+    table = lemmas.select(F.col("form").alias("token"), "lemma")
     return map_tokens(
-        df,
-        {tokens: "lemmas"},
-        lemmas.select(F.col("form").alias("token"), "lemma"),
-        lambda: F.coalesce("lemma", "token"),
-        key,
-        keep,
-        **sizes,
+        df, {"lemmas": _column(tokens)}, table, F.col("lemma"),
+        lambda token, hit: F.coalesce(hit, token), key, keep, **sizes,
     )
 
 
+def _column(tokens: str | Column) -> Column:
+    return F.col(tokens) if isinstance(tokens, str) else tokens
+
+
 def known_or_bare(token: Column, known: Column) -> Column:
     """A known token as it is, any other with its punctuation blanked."""
     return F.when(known, token).otherwise(T.replace_punct(token))
 
 
 def fix_oov(
-    df: DataFrame, vocab: DataFrame, tokens: str = "tokens", key: str = "pair_id", keep: list[str] = (), **sizes
+    df: DataFrame, vocab: DataFrame, tokens: str | Column = "tokens", key: str = "pair_id",
+    keep: list[str] = (), **sizes,
 ) -> DataFrame:
     """``fixed``: punctuation blanked in tokens outside the vocabulary, then
     empty results dropped."""
-    flagged = vocab.select("token", F.lit(True).alias("known"))
     out = map_tokens(
-        df, {tokens: "fixed"}, flagged, lambda: known_or_bare(F.col("token"), F.col("known")), key, keep, **sizes
+        df, {"fixed": _column(tokens)}, vocab, F.col("token").isNotNull(), known_or_bare, key, keep, **sizes
     )
     return out.withColumn("fixed", F.filter("fixed", lambda t: t != ""))
 
@@ -162,12 +190,12 @@ def clean_text(
     ``stops`` are given; no punctuation; joined by one blank. ``table`` is a
     stored ``cleaning_table``.
     """
-    tokens = {f"_tok_{c}": out for c, out in columns.items()}
-    df = df.repartition(key).withColumns({f"_tok_{c}": T.tokenize(T.lower_text(F.col(c))) for c in columns})
-    base = F.when(
-        F.col("known"), F.coalesce("base", "token")
-    ).otherwise(F.coalesce("base", T.replace_punct(F.col("token"))))
-    out = map_tokens(df, tokens, table, lambda: base, key, keep, **sizes)
+    tokens = {out: T.tokenize(T.lower_text(F.col(c))) for c, out in columns.items()}
+
+    def value(token, hit):
+        return F.coalesce(hit["base"], known_or_bare(token, hit["known"]))
+
+    out = map_tokens(df, tokens, table, F.struct("known", "base"), value, key, keep, **sizes)
     finished = {
         c: T.join_tokens(
             T.drop_punct(T.drop_stop_words(F.filter(c, lambda t: t != ""), list(stops)))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, Row, functions as F
+
+LITERAL_BYTES = 8 * 1024 * 1024
+LITERAL_KEY_CHARS = 1_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
@@ -31,9 +35,9 @@ def collect_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame | None:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def stored_bytes(df: DataFrame) -> int:
-    """Size of a stored table in memory: its text and arrays measured, plus a
-    fixed part per row. Reads the table once."""
+def measure(df: DataFrame, key: str | None = None) -> Row:
+    """``rows``, ``bytes`` and ``longest`` key of a stored table, read once. Bytes
+    are its text and arrays, plus a fixed part per row."""
     width = F.lit(64)
     for field in df.schema.fields:
         kind = field.dataType.typeName()
@@ -41,7 +45,42 @@ def stored_bytes(df: DataFrame) -> int:
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
         elif kind in ("array", "map"):
             width = width + 16 * F.coalesce(F.greatest(F.size(field.name), F.lit(0)), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
+    longest = F.max(F.length(key)) if key else F.lit(0)
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
+        F.coalesce(longest, F.lit(0)).alias("longest"),
+    ).first()
+
+
+def literal_lookup(
+    table: DataFrame, key: str, value: Column, max_bytes: int = LITERAL_BYTES
+) -> Callable[[Column], Column] | None:
+    """A function from a key column to its ``value`` in a small stored table, to
+    be used inside any expression: no join, no explode, no shuffle. None if the
+    table measures more than ``max_bytes``.
+
+    The table becomes one constant of the plan: an array of maps, each key in the
+    map its hash names. Spark searches a map from end to end, so maps are kept to
+    a few keys.
+    """
+    size = measure(table, key)
+    if size["bytes"] > max_bytes or size["longest"] > LITERAL_KEY_CHARS:
+        return None
+    buckets = max(1, size["rows"] // 4)
+
+    def bucket(column):
+        return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+
+    entry = F.struct(F.col(key).alias("key"), value.alias("value"))
+    entries = table.where(F.col(key).isNotNull()).select(bucket(F.col(key)).alias("at"), entry.alias("entry"))
+    maps = entries.groupBy("at").agg(F.map_from_entries(F.collect_list("entry")).alias("map"))
+    texts = ["{}"] * buckets
+    for row in maps.select("at", F.to_json("map").alias("text")).collect():
+        texts[row["at"]] = row["text"]
+    kind = table.select(value.alias("value")).schema["value"].dataType.simpleString()
+    constant = F.from_json(F.lit(f"[{','.join(texts)}]"), f"array<map<string,{kind}>>")
+    return lambda column: F.try_element_at(F.element_at(constant, bucket(column) + 1), column)
 
 
 def join_table(
@@ -60,7 +99,7 @@ def join_table(
     the hash of ``spread``, so a value held by a third of all rows is met by
     ``salts`` tasks, and the adaptive skew join splits those further.
     """
-    if stored_bytes(table) <= max_bytes:
+    if measure(table)["bytes"] <= max_bytes:
         return df.join(F.broadcast(table), on, how)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

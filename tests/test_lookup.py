@@ -7,10 +7,11 @@ from pairloom.functions import text as T
 from pairloom.operators import lookup as L, vocab as V
 from pairloom.operators.encode import encode_pieces, encode_samples
 from pairloom.operators.rows import mark_pairs
-from pairloom.operators.sizing import collect_small, stored_bytes
+from pairloom.operators.sizing import collect_small, literal_lookup, measure
 from pairloom.operators.wordpiece import distinct_words, piece_ids, word_pieces
 
-WAYS = [{}, {"max_bytes": 0, "salts": 4}]  # broadcast, salted shuffle
+# constant of the plan, broadcast, salted shuffle
+WAYS = [{}, {"literal_bytes": 0}, {"literal_bytes": 0, "max_bytes": 0, "salts": 4}]
 
 
 @pytest.fixture(autouse=True)
@@ -132,17 +133,37 @@ def test_encode_with_words_and_with_pieces(spark):
 
 
 def test_sizes_are_measured(spark, vocab):
-    assert stored_bytes(vocab) == 2 * 65
-    assert stored_bytes(vocab.limit(0)) == 0
+    assert tuple(measure(vocab, "token")) == (2, 2 * 65, 1)
+    assert tuple(measure(vocab.limit(0), "token")) == (0, 0, 0)
     assert collect_small(vocab, 1) is None
     assert collect_small(vocab, 2).count() == 2
+    long = spark.createDataFrame([("a" * 1001, 1)], "token string, id int")
+    assert literal_lookup(long, "token", F.col("id")) is None
+    assert literal_lookup(vocab, "token", F.col("id"), 100) is None
 
 
-def test_regrouping_needs_one_shuffle(spark, vocab):
+def test_literal_lookup_of_odd_keys(spark):
+    keys = ["", '"', "\\", "{}", "é", "\u2028", "\n", "null", "NaN"] + [f"k{i}" for i in range(200)]
+    rows = [(k, [i / 7, None]) for i, k in enumerate(keys)] + [("none", None)]
+    table = spark.createDataFrame(rows, "token string, v array<float>")
+    found = literal_lookup(table, "token", F.struct("v"))
+    asked = spark.createDataFrame([(k,) for k in keys + ["none", "absent", None]], "k string")
+    got = {r["k"]: r["f"] and r["f"]["v"] for r in asked.select("k", found(F.col("k")).alias("f")).collect()}
+    want = {r["token"]: r["v"] for r in table.collect()} | {"absent": None, None: None}
+    assert got == want
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans(spark, vocab):
     df = tokens_table(spark, LISTS)
-    plan = L.token_ids(df, vocab)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    exploded = plan[plan.index("Generate posexplode(_tokens"):].split("true")[0]
+    narrow = _plan(L.token_ids(df, vocab))
+    assert "Exchange" not in narrow and "from_json" not in narrow
+    broadcast = _plan(L.token_ids(df, vocab, literal_bytes=0))
+    assert broadcast.count("Exchange hashpartitioning") == 1
+    exploded = broadcast[broadcast.index("Generate posexplode(_tokens"):].split("true")[0]
     assert exploded.count("_tokens") == 1  # a token does not carry its list
-    salted = L.token_ids(df, vocab, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    salted = _plan(L.token_ids(df, vocab, literal_bytes=0, max_bytes=0))
     assert "SortMergeJoin" in salted and "_salt" in salted
