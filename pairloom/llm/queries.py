@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import mixing, topk, warc
+from pairloom.llm import mixing, neardup, topk, warc
 from pairloom.llm.common import table
 from pairloom.session import scratch_path
 
@@ -52,6 +52,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
