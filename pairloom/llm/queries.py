@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import mixing, neardup, quality, topk, warc
+from pairloom.llm import decontaminate, mixing, neardup, quality, topk, warc
 from pairloom.llm.common import table
 from pairloom.session import scratch_path
 
@@ -17,6 +17,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
