@@ -1,8 +1,61 @@
-"""Stages from raw documents to a training mix."""
+"""From raw documents to a training mix, in five stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its
+result is written as Parquet and read again as the next one's input. All but the
+last return the columns of ``documents``, whatever others the table has.
+
+1. quality: documents above the perplexity threshold of their language go;
+2. near_duplicates: one document of each group stays, the one of the smallest id; rows
+   without an id all stay, and repeats of one row are one row;
+3. decontamination: documents that hold a benchmark item go;
+4. pii: personal data becomes its kind in brackets, ``n_chars`` follows the text;
+5. mixing: one row per document with its source's target, its number of copies in the
+   mix and the words they amount to.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pairloom.llm import decontaminate, mixing, neardup, pii, quality as Q
+from pairloom.llm.common import table
+from pairloom.session import scratch_path, stored
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return Q.good_rows(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = stored(neardup.near_duplicates(docs).where("kept").select("doc_id").distinct(), "kept")
+    chosen = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return chosen.select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redacted(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs).drop("rate")
+
+
+STAGES = [
+    ("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+    ("pii", personal_data), ("mixing", mix),
+]
+#: The model of the first stage and the retrieval of the third can't be stated in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, mixing, neardup, quality, topk, warc
+from pairloom.llm import decontaminate, mixing, neardup, pii, quality, topk, warc
 from pairloom.llm.common import table
 from pairloom.session import scratch_path
 
@@ -73,6 +73,11 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("id % 100 = 0"))
 
 
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op7_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
