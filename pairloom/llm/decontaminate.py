@@ -37,12 +37,12 @@ FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
 PASSAGE = 16
 STRIDE = 4
-RANK = 128
+RANK = 256
 EXTRA = 16
 POWER_STEPS = 2
 #: The least cosine in the latent space, and the least part of a window that lies in it.
-SIMILAR = 0.55
-PROJECTED = 0.25
+SIMILAR = 0.45
+PROJECTED = 0.15
 #: The least part of a window's squared weight that lies on features of items.
 SHARED = 0.4
 COVERED = 0.6
@@ -119,21 +119,25 @@ def _norms(row, f, w, n):
     return np.sqrt(np.bincount(key >> FEATURE_BITS, summed**2, minlength=n))
 
 
-def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, extra: int = EXTRA, steps: int = POWER_STEPS, seed: int = 1) -> np.ndarray:
-    """The leading right singular vectors of the passages' TF-IDF matrix, one row per
-    feature: a randomised range finder with power steps (Halko, Martinsson and Tropp 2011)."""
+def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, extra: int = EXTRA, steps: int = POWER_STEPS, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The features of the passages, sorted, and for each its row of the leading right
+    singular vectors of the passages' TF-IDF matrix: a randomised range finder with
+    power steps (Halko, Martinsson and Tropp 2011)."""
     width = rank + extra
-    basis = np.random.default_rng(seed).standard_normal((FEATURES, width)).astype(np.float32)
     spark = cut.sparkSession
+    used = cut.select(F.explode("features").alias("f")).distinct().toArrow()  # at most FEATURES rows
+    features = np.sort(used.column("f").to_numpy())
+    basis = np.random.default_rng(seed).standard_normal((len(features), width)).astype(np.float32)
     schema = arrow_schema("feature int, v binary")
 
     def product(basis):
         """The Gram matrix of the passages times ``basis``."""
-        held = spark.sparkContext.broadcast((basis, idf))
+        held = spark.sparkContext.broadcast((basis, idf, features))
 
         def times(batch):
-            basis, idf = held.value
+            basis, idf, features = held.value
             row, f, w = _rows(batch.column("features"), idf)
+            f = np.searchsorted(features, f)
             y = np.zeros((batch.num_rows, basis.shape[1]))
             np.add.at(y, row, w[:, None] * basis[f])
             at, place = np.unique(f, return_inverse=True)
@@ -151,11 +155,14 @@ def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, extra: int =
         parts = map_batches(cut.select("features"), times, "feature int, v binary")
         shards = parts.groupBy(F.pmod("feature", F.lit(256))).applyInArrow(lambda t: add(t), "feature int, v binary")
         found = shards.toArrow()  # at most one row per feature
-        out = np.zeros((FEATURES, width), np.float32)
+        held.destroy()
+        out = np.zeros((len(features), width), np.float32)
         if found.num_rows:
             out[found.column("feature").to_numpy()] = np.stack([np.frombuffer(v, np.float32) for v in found.column("v").to_pylist()])
         return out
 
+    if not len(features):
+        return features, np.zeros((0, 1), np.float32)
     for _ in range(steps):
         basis, _ = np.linalg.qr(product(basis).astype(np.float64))
         basis = basis.astype(np.float32)
@@ -163,7 +170,7 @@ def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, extra: int =
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     top = np.argsort(values)[::-1][:rank]
     top = top[values[top] > 1e-9]
-    return (basis @ vectors[:, top]).astype(np.float32)
+    return features, (basis @ vectors[:, top]).astype(np.float32)
 
 
 @dataclass
@@ -172,7 +179,7 @@ class Index:
 
     idf: np.ndarray
     space: np.ndarray
-    known: np.ndarray
+    row_of: np.ndarray
     vectors: np.ndarray
     owners: np.ndarray
     items: list[np.ndarray]
@@ -183,7 +190,10 @@ def build_index(docs: DataFrame, items: DataFrame, idf: np.ndarray | None = None
     """The index of one block of items (see ``ITEMS_PER_BLOCK``)."""
     idf = inverse_frequencies(docs) if idf is None else idf
     cut = passages(items)
-    space = latent_space(cut, idf)
+    features, space = latent_space(cut, idf)
+    row_of = np.full(FEATURES, -1, np.int32)
+    row_of[features] = np.arange(len(features))
+    space = np.vstack([space, np.zeros((1, space.shape[1]), np.float32)])  # row -1: features of no item
     found = items.select(F.col("item_id").cast("bigint"), raw()).toArrow()  # a block of items, bounded
     ids, texts, kept = found.column("item_id").to_pylist(), [], []
     for low, high, data, edges in slices(found.column("raw").combine_chunks()):
@@ -195,11 +205,9 @@ def build_index(docs: DataFrame, items: DataFrame, idf: np.ndarray | None = None
     row = np.repeat(np.arange(len(rows)), [len(p) for _, p in rows]).astype(np.int64)
     f = feature_of(np.concatenate([p for _, p in rows])) if rows else np.zeros(0, np.int64)
     vectors = np.zeros((len(rows), space.shape[1]), np.float32)
-    np.add.at(vectors, row, idf[f][:, None] * space[f])
+    np.add.at(vectors, row, idf[f][:, None] * space[row_of[f]])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
-    known = np.zeros(FEATURES, bool)
-    known[f] = True
-    return Index(idf, space, known, vectors, np.array([j for j, _ in rows], np.int64), [texts[i] for i in kept], np.array([-1 if ids[i] is None else ids[i] for i in kept], np.int64))
+    return Index(idf, space, row_of, vectors, np.array([j for j, _ in rows], np.int64), [texts[i] for i in kept], np.array([-1 if ids[i] is None else ids[i] for i in kept], np.int64))
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -243,7 +251,7 @@ def search(words: Words, index: Index):
     f = feature_of(h)
     w = index.idf[f].astype(np.float64)
     weight = np.r_[0, np.cumsum(w * w)]
-    inside = np.r_[0, np.cumsum(w * w * index.known[f])]
+    inside = np.r_[0, np.cumsum(w * w * (index.row_of[f] >= 0))]
     counts = words.counts()
     per_text = np.where(counts > 0, np.maximum(0, -(-(counts - PASSAGE) // STRIDE)) + 1, 0)
     of = np.repeat(np.arange(len(counts)), per_text)
@@ -257,7 +265,7 @@ def search(words: Words, index: Index):
         lengths = end[part] - start[part]
         row = np.repeat(np.arange(len(part)), lengths)
         place = np.repeat(start[part], lengths) + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        projected = np.add.reduceat((w[place, None] * index.space[f[place]]).astype(np.float32), np.cumsum(lengths) - lengths, axis=0)
+        projected = np.add.reduceat((w[place, None] * index.space[index.row_of[f[place]]]).astype(np.float32), np.cumsum(lengths) - lengths, axis=0)
         norm = np.maximum(_norms(row, f[place], w[place], len(part)), 1e-9)
         length = np.linalg.norm(projected, axis=1)
         near = np.flatnonzero(length >= PROJECTED * norm)

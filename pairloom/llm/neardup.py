@@ -192,31 +192,28 @@ def estimated(pairs: DataFrame, briefs: DataFrame, brief: int = BRIEF, percent:
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     """``pairs`` whose full sets reach the threshold. Sets are made anew from the
     text of one document per node."""
-    schema = arrow_schema("id bigint, members binary")
+    schema_text = "id bigint, members array<bigint>"
+    schema = arrow_schema(schema_text)
     wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(nodes, "id").select("id", "text_key"), "wanted")
 
     def sets(batch):
         ids = batch.column("id")
         for low, high, words in word_slices(batch.column("raw")):
-            members = pa.array([s.tobytes() for s in shingle_sets(words)], pa.binary())
+            found = list(shingle_sets(words))
+            edges = np.r_[0, np.cumsum([len(s) for s in found])].astype(np.int32)
+            members = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(found).view(np.int64)))
             yield pa.RecordBatch.from_arrays([ids.slice(low, high - low), members], schema=schema)
 
     # copies of one text meet here; one of them is enough
     texts = docs.select(text_key(), raw()).join(wanted, "text_key").groupBy("id").agg(F.min("raw").alias("raw"))
-    full = stored(map_batches(texts.select("id", "raw"), sets, "id bigint, members binary"), "sets")
-
-    def check(batch):
-        a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-        linked = np.zeros(len(a), bool)
-        for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
-            x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            linked[i] = 100 * shared >= percent * (len(x) + len(y) - shared)
-        yield pa.RecordBatch.from_arrays([pa.array(a[linked]), pa.array(b[linked])], schema=arrow_schema("a bigint, b bigint"))
-
+    full = stored(map_batches(texts.select("id", "raw"), sets, schema_text), "sets")
     one = full.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
     other = full.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
-    return map_batches(pairs.join(one, "a").join(other, "b").select("a", "b", "set_a", "set_b"), check, "a bigint, b bigint")
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    # row by row in the JVM: two sets of the longest texts are all that is held at once
+    return pairs.join(one, "a").join(other, "b").where(
+        100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)
+    ).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) -> DataFrame:
