@@ -41,7 +41,7 @@ RANK = 256
 EXTRA = 16
 POWER_STEPS = 2
 #: The least cosine in the latent space, and the least part of a window that lies in it.
-SIMILAR = 0.45
+SIMILAR = 0.55
 PROJECTED = 0.15
 #: The least part of a window's squared weight that lies on features of items.
 SHARED = 0.4
@@ -230,7 +230,8 @@ def confirm(item: np.ndarray, around: np.ndarray) -> int:
     if len(item) < SHORT_ITEM:
         whole = any(np.array_equal(item, around[s : s + len(item)]) for s in np.flatnonzero(around == item[0]))
         return len(item) if whole else 0
-    if np.isin(item, around).sum() < COVERED * len(item):
+    there = set(around.tolist())
+    if sum(x in there for x in item.tolist()) < COVERED * len(item):
         return 0
     common = common_subsequence(item, around)
     if common < COVERED * len(item):
