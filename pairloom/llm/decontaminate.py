@@ -37,14 +37,14 @@ FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
 PASSAGE = 16
 STRIDE = 4
-RANK = 256
+RANK = 192
 EXTRA = 16
 POWER_STEPS = 2
 #: The least cosine in the latent space, and the least part of a window that lies in it.
 SIMILAR = 0.55
 PROJECTED = 0.15
 #: The least part of a window's squared weight that lies on features of items.
-SHARED = 0.4
+SHARED = 0.5
 COVERED = 0.6
 VERBATIM = 0.85
 ANSWER = 5
