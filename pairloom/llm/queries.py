@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, mixing, neardup, pii, quality, topk, warc
+from pairloom.llm import decontaminate, mixing, neardup, pii, quality, suffixarray, suffixtrees, topk, warc
 from pairloom.llm.common import table
 from pairloom.session import scratch_path
 
@@ -73,6 +73,16 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("id % 100 = 0"))
 
 
+@query
+def op8_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtrees.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
