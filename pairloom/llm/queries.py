@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, mixing, neardup, pii, quality, suffixarray, suffixtrees, topk, warc
+from pairloom.llm import decontaminate, mixing, neardup, pii, quality, scoring, suffixarray, suffixtrees, topk, warc
 from pairloom.llm.common import table
 from pairloom.session import scratch_path
 
@@ -56,6 +56,11 @@ FROM d
 """
 
 
+@query
+def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
