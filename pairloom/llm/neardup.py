@@ -16,8 +16,10 @@ the union, and those of them in both sets are retained by both sketches. So
 4. confirmed links are joined into components.
 
 Long lists are not turned into all their pairs. All nodes of a list are first held
-against its most typical one, which settles groups of near copies; then only nodes
-that are still in different components are compared, all of them.
+against its most typical one, which settles groups of near copies; then only nodes that are still in
+different components are compared, all of them. The place of a shared value in
+both orders bounds what two whole sets can share beyond it (Xiao et al. 2008), so
+copies with many changes of their own are no candidates.
 
 For sets up to three quarters of ``k`` the value ``t`` is exact; beyond that a link is
 missed with a chance of about 1e-9. Shingles are compared by 63-bit hashes.
@@ -41,8 +43,7 @@ from pairloom.session import stored
 
 SHINGLE = 5
 THRESHOLD = 75
-RETAINED = 128
-BRIEF = 64
+RETAINED = 256
 #: Lists up to this length are turned into all their pairs.
 SHORT = 24
 #: At most so many values count as frequent; their array is sent to every task.
@@ -52,7 +53,7 @@ _ID_BITS = 48
 _U = np.uint64
 _STEPS = mixed(np.arange(11, 11 + SHINGLE, dtype=_U)) | _U(1)
 SKETCHED = "doc_id bigint, n bigint, node binary, text_key bigint, sketch binary"
-ENTRY = "value bigint, id bigint, n bigint"
+ENTRY = "value bigint, id bigint, n bigint, place bigint"
 
 
 def shingle_sets(words: Words, width: int = SHINGLE):
@@ -132,7 +133,7 @@ def frequent_values(rows: DataFrame) -> np.ndarray:
 
 
 def list_entries(rows: DataFrame, often: np.ndarray, retained: int = RETAINED) -> DataFrame:
-    """The inverted lists: (``value``, ``id``, ``n``). An id starts with how untypical its
+    """The inverted lists: (``value``, ``id``, ``n``, ``place``). An id starts with how untypical its
     node is, so that the smallest id of a list is its most typical node."""
     schema = arrow_schema(ENTRY)
     held = rows.sparkSession.sparkContext.broadcast(often)
@@ -156,16 +157,24 @@ def list_entries(rows: DataFrame, often: np.ndarray, retained: int = RETAINED) -
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([c for c, _, _ in out])), pa.array(np.repeat(np.array([i for _, i, _ in out], np.int64), sizes)),
             pa.array(np.repeat(np.array([n for _, _, n in out], np.int64), sizes)),
+            pa.array(np.concatenate([np.arange(x) for x in sizes])),
         ], schema=schema)
 
     return map_batches(rows, change, ENTRY)
 
 
-def _may_link(a: str, b: str, percent: int = THRESHOLD):
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _may_link(retained: int = RETAINED, percent: int = THRESHOLD):
+    """Whether the sizes of two sets, and for whole sets the places of a shared value, allow
+    the threshold: if that value is their first in common, they share at most what
+    follows it in either."""
+    a, b = F.col("n_a"), F.col("n_b")
+    sizes = (a * 100 >= b * percent) & (b * 100 >= a * percent)
+    whole = F.greatest(a, b) * 100 <= percent * retained
+    left = F.least(a - F.col("place_a"), b - F.col("place_b"))
+    return sizes & (~whole | (left * (100 + percent) >= (a + b) * percent))
 
 
-def estimated(pairs: DataFrame, briefs: DataFrame, brief: int = BRIEF, percent: int = THRESHOLD) -> DataFrame:
+def estimated(pairs: DataFrame, briefs: DataFrame, retained: int = RETAINED, percent: int = THRESHOLD) -> DataFrame:
     """``pairs`` (``a``, ``b``) that the union of their sketches lets pass."""
     schema = arrow_schema("a bigint, b bigint")
     p = percent / 100
@@ -178,10 +187,11 @@ def estimated(pairs: DataFrame, briefs: DataFrame, brief: int = BRIEF, percent:
             both = np.sort(np.concatenate([x, y]))
             twice = np.flatnonzero(both[1:] == both[:-1])
             # a union sketch can't reach beyond the end of a full sketch
-            end = min([s[-1] for s in (x, y) if len(s) >= brief], default=both[-1])
+            cut = [s[-1] for s in (x, y) if len(s) >= retained]
+            end, slack = min(cut, default=both[-1]), 6 if cut else 0
             shared = int((both[twice] <= end).sum())
             union = int(np.searchsorted(both, end, side="right")) - shared
-            passed[i] = shared >= p * union - 6 * np.sqrt(union * p * (1 - p)) - 1e-9
+            passed[i] = shared >= p * union - slack * np.sqrt(union * p * (1 - p)) - 1e-9
         yield pa.RecordBatch.from_arrays([pa.array(a[passed]), pa.array(b[passed])], schema=schema)
 
     one = briefs.select(F.col("id").alias("a"), F.col("brief").alias("sketch_a"))
@@ -236,18 +246,17 @@ def near_duplicates(docs: DataFrame, retained: int = RETAINED, short: int = SHOR
     ids = met.select("id", low).distinct()
     nodes = stored(ids.join(reps, "nid").select("id", "nid", "text_key", "node"), "listed")
     briefs = stored(
-        rows.select("node", "text_key", F.substring("sketch", 1, 8 * BRIEF).alias("brief")).join(nodes, ["node", "text_key"])
+        rows.select("node", "text_key", F.col("sketch").alias("brief")).join(nodes, ["node", "text_key"])
         .groupBy("id").agg(F.min("brief").alias("brief")), "briefs",
     )
 
     def links(pairs: DataFrame) -> DataFrame:
-        passed = stored(estimated(pairs, briefs), "candidates")
+        passed = stored(estimated(pairs, briefs, retained), "candidates")
         return confirmed(passed, docs, nodes)
 
     brief_lists = met.where(F.col("held") <= short)
-    left = brief_lists.select("value", F.col("id").alias("a"), F.col("n").alias("n_a"))
-    right = brief_lists.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"))
-    within = left.join(right, "value").where((F.col("a") < F.col("b")) & _may_link("n_a", "n_b")).select("a", "b")
+    left, right = (brief_lists.select("value", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "place")]) for side in "ab")
+    within = left.join(right, "value").where((F.col("id_a") < F.col("id_b")) & _may_link(retained)).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     longer = met.where(F.col("held") > short)
     to_pivot = longer.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     found = stored(links(within.union(to_pivot).distinct()), "links")
@@ -255,13 +264,16 @@ def near_duplicates(docs: DataFrame, retained: int = RETAINED, short: int = SHOR
 
     # what the first comparison of a long list has left apart
     placed = longer.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    placed = stored(placed.select("value", "id", "n", "pivot", "root"), "placed")
-    home = placed.where("id = pivot").select("value", F.col("root").alias("home")).distinct()
-    apart = stored(placed.join(home, "value").where("root <> home").select("value", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a")), "apart")
+    placed = stored(placed.select("value", "id", "n", "place", "pivot", "root"), "placed")
+    home = stored(placed.where("id = pivot").select("value", F.col("root").alias("home")).distinct(), "homes")
+    apart = placed.join(home, "value").where("root <> home").select(
+        "value", *[F.col(c).alias(f"{d}_a") for c, d in (("id", "id"), ("n", "n"), ("place", "place"), ("root", "root"))]
+    )
+    apart = stored(apart, "apart")
     if apart.limit(1).count():
-        everyone = placed.select("value", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-        crossed = apart.join(everyone, "value").where((F.col("root_a") != F.col("root_b")) & _may_link("n_a", "n_b"))
-        pairs = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        everyone = placed.select("value", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root")])
+        crossed = apart.join(everyone, "value").where((F.col("root_a") != F.col("root_b")) & _may_link(retained))
+        pairs = crossed.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
         found = stored(found.union(links(pairs)), "links")
         classes = stored(linked_classes(found), "classes")
 
