@@ -16,7 +16,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import arrays as A, text as T
-from pairloom.operators.sizing import BROADCAST_BYTES, LITERAL_BYTES, SALTS, join_table, literal_lookup
+from pairloom.operators.sizing import (
+    BROADCAST_BYTES,
+    LITERAL_BYTES,
+    SALTS,
+    join_table,
+    literal_lookup,
+    measure,
+    require_unique,
+)
 
 
 def map_tokens(
@@ -37,8 +45,15 @@ def map_tokens(
     ``tokens`` maps output column -> token list. The result has ``key``, the
     ``keep`` columns (small ones: in a join they travel with each token) and the
     outputs, in token order; an empty list stays empty, a null list null.
+
+    Tokens of the table and keys of ``df`` must be unique, whatever the size of either:
+    both are checked before the way is chosen, and a repeat is an error.
     """
-    found = literal_lookup(table, "token", hit, literal_bytes)
+    size = measure(table, "token")
+    if size["different"] < size["rows"]:
+        require_unique(table, "token")
+    require_unique(df, key)
+    found = literal_lookup(table, "token", hit, literal_bytes, size)
     if found is not None:
         return df.select(
             key, *keep, *[F.transform(c, lambda t: value(t, found(t))).alias(o) for o, c in tokens.items()]
@@ -54,7 +69,7 @@ def map_tokens(
         key, *keep, "side", "_missing", F.posexplode_outer("_tokens").alias("pos", "token")
     ).withColumn("pos", F.when(F.col("_missing"), -1).otherwise(F.col("pos"))).drop("_missing")
     hits = table.select("token", hit.alias("_hit"))
-    joined = join_table(exploded, hits, "token", F.struct(key, "pos"), "left", max_bytes, salts)
+    joined = join_table(exploded, hits, "token", F.struct(key, "pos"), "left", max_bytes, salts, size)
     changed = joined.withColumn("_value", value(F.col("token"), F.col("_hit")))
     grouped = changed.groupBy(key, *keep).agg(*[
         F.sort_array(
@@ -161,18 +176,18 @@ def fix_oov(
 
 
 def cleaning_table(vocab: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """(``token``, ``known``, ``base``): all that cleaning looks up, in one table.
-
-    Cleaning takes base forms twice, so ``base`` is the base form of the base
-    form. Null where the token has none. Both tables are stored ones.
+    """(``token``, ``known``, ``once``, ``twice``): all that cleaning looks up, in one
+    table: the base form of a token, and the base form of that, each null where
+    there is none. An unknown token that punctuation is blanked in has none, as it is
+    looked up without it. Both tables are stored ones, with unique tokens and forms.
     """
+    require_unique(lemmas, "form")
     first = lemmas.select(F.col("form").alias("token"), F.col("lemma").alias("once"))
     second = lemmas.select(F.col("form").alias("once"), F.col("lemma").alias("twice"))
-    twice = join_table(first, second, "once", F.col("token")).select(
-        "token", F.coalesce("twice", "once").alias("base")
-    )
+    bases = join_table(first, second, "once", F.col("token")).select("token", "once", "twice")
     known = vocab.select("token", F.lit(True).alias("known"))
-    return known.join(twice, "token", "full")
+    kept = F.col("known").isNotNull() | (T.replace_punct(F.col("token")) == F.col("token"))
+    return known.join(bases, "token", "full").withColumns({c: F.when(kept, F.col(c)) for c in ("once", "twice")})
 
 
 def clean_text(
@@ -187,19 +202,18 @@ def clean_text(
     """Cleaned text columns (text column -> output column).
 
     Lower case; tokens; out-of-vocabulary fix; base forms; stop words, only if
-    ``stops`` are given; no punctuation; joined by one blank. ``table`` is a
-    stored ``cleaning_table``.
+    ``stops`` are given; no punctuation; base forms again; joined by one blank.
+    ``table`` is a stored ``cleaning_table``.
     """
     tokens = {out: T.tokenize(T.lower_text(F.col(c))) for c, out in columns.items()}
 
     def value(token, hit):
-        return F.coalesce(hit["base"], known_or_bare(token, hit["known"]))
+        once = F.coalesce(hit["once"], known_or_bare(token, hit["known"]))
+        last = F.coalesce(hit["twice"], once)
+        return F.when(once.isin(list(stops)), F.lit("")).otherwise(last) if stops else last
 
-    out = map_tokens(df, tokens, table, F.struct("known", "base"), value, key, keep, **sizes)
+    out = map_tokens(df, tokens, table, F.struct("known", "once", "twice"), value, key, keep, **sizes)
     finished = {
-        c: T.join_tokens(
-            T.drop_punct(T.drop_stop_words(F.filter(c, lambda t: t != ""), list(stops)))
-        )
-        for c in columns.values()
+        c: T.join_tokens(T.drop_punct(F.filter(c, lambda t: t != ""))) for c in columns.values()
     }
     return out.withColumns(finished)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from pairloom.session import stored
+
 BUCKET = "_bucket"
 
 
@@ -46,6 +48,21 @@ def with_position(df: DataFrame, bucket: Column, order: list[Column], name: str
     )
 
 
+def with_range_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """1-based position of every row of a narrow table in an order without ties,
+    for keys that have no bucket function: ranges of the order are dealt to tasks and
+    stored with their number, and each is shifted by the rows of those before it."""
+    ranges = stored(df.repartitionByRange(*order).withColumn(BUCKET, F.spark_partition_id()), "ranges")
+    offsets = bucket_offsets(ranges).select(BUCKET, "before")
+    inside = Window.partitionBy(BUCKET).orderBy(*order)
+    return (
+        ranges.withColumn(name, F.row_number().over(inside))
+        .join(F.broadcast(offsets), BUCKET)
+        .withColumn(name, F.col("before") + F.col(name))
+        .drop(BUCKET, "before")
+    )
+
+
 def running_totals(
     df: DataFrame, by: list[str], order: str, sums: dict[str, str], block: int = 10_000
 ) -> DataFrame:

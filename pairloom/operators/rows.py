@@ -39,7 +39,7 @@ def every_nth_step(df: DataFrame, n: int = 100) -> DataFrame:
 
 def remaining_rows(df: DataFrame, sample: DataFrame, key: str = "pair_id") -> DataFrame:
     """Rows whose key is not in ``sample``."""
-    return df.join(sample.select(key).distinct(), key, "left_anti")
+    return df.join(sample.select(key), key, "left_anti")
 
 
 def row_count(df: DataFrame, batch: int = 20, every: int = 100) -> DataFrame:

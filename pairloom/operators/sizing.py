@@ -12,17 +12,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer tasks than the cluster has cores, dealt out by ``key``.
-
-    Meant for heavy per-row work on a table of few row groups. A scan that fills
-    the cluster is left alone, so nothing large is ever shuffled here.
-    """
-    if scan.rdd.getNumPartitions() >= scan.sparkSession.sparkContext.defaultParallelism:
-        return scan
-    return scan.repartition(key)
-
-
 def collect_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame | None:
     """``df`` as a local table if it has at most ``max_rows`` rows, else None.
 
@@ -36,8 +25,8 @@ def collect_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame | None:
 
 
 def measure(df: DataFrame, key: str | None = None) -> Row:
-    """``rows``, ``bytes`` and ``longest`` key of a stored table, read once. Bytes
-    are its text and arrays, plus a fixed part per row."""
+    """``rows``, ``bytes``, ``longest`` and ``different`` keys of a stored table, read
+    once. Bytes are its text and arrays, plus a fixed part per row."""
     width = F.lit(64)
     for field in df.schema.fields:
         kind = field.dataType.typeName()
@@ -50,11 +39,19 @@ def measure(df: DataFrame, key: str | None = None) -> Row:
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
         F.coalesce(longest, F.lit(0)).alias("longest"),
+        (F.count_distinct(key) + F.count_if(F.col(key).isNull()) if key else F.count(F.lit(1))).alias("different"),
     ).first()
 
 
+def require_unique(df: DataFrame, key: str) -> None:
+    """An error if two rows of ``df`` have one ``key``; nulls count as a value."""
+    again = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if again:
+        raise ValueError(f"{key} {again[0][0]!r} is not unique")
+
+
 def literal_lookup(
-    table: DataFrame, key: str, value: Column, max_bytes: int = LITERAL_BYTES
+    table: DataFrame, key: str, value: Column, max_bytes: int = LITERAL_BYTES, size: Row | None = None
 ) -> Callable[[Column], Column] | None:
     """A function from a key column to its ``value`` in a small stored table, to
     be used inside any expression: no join, no explode, no shuffle. None if the
@@ -64,7 +61,7 @@ def literal_lookup(
     map its hash names. Spark searches a map from end to end, so maps are kept to
     a few keys.
     """
-    size = measure(table, key)
+    size = size or measure(table, key)
     if size["bytes"] > max_bytes or size["longest"] > LITERAL_KEY_CHARS:
         return None
     buckets = max(1, size["rows"] // 4)
@@ -91,6 +88,7 @@ def join_table(
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    size: Row | None = None,
 ) -> DataFrame:
     """Join ``df`` to a stored ``table`` with one row per ``on``.
 
@@ -99,7 +97,7 @@ def join_table(
     the hash of ``spread``, so a value held by a third of all rows is met by
     ``salts`` tasks, and the adaptive skew join splits those further.
     """
-    if measure(table)["bytes"] <= max_bytes:
+    if (size or measure(table))["bytes"] <= max_bytes:
         return df.join(F.broadcast(table), on, how)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
+
+from pairloom.operators.rank import with_range_position
 
 # Fixed value: ids up to 103 belong to padding, unused slots and special tokens
 FIRST_ID = 104
-VOCAB_SIZE = 30_000
 
 
 def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
@@ -25,11 +25,11 @@ def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
 
 
 def build_vocab(
-    df: DataFrame, tokens: Column, size: int = VOCAB_SIZE, first_id: int = FIRST_ID
+    df: DataFrame, tokens: Column, size: int | None = None, first_id: int = FIRST_ID
 ) -> DataFrame:
-    """(``token``, ``id``, ``n``) of the ``size`` most frequent tokens; ties go
-    by token. The last ranking runs over ``size`` rows at most."""
-    order = [F.desc("n"), F.asc("token")]
-    top = token_counts(df, tokens).orderBy(*order).limit(size)
-    rank = F.row_number().over(Window.orderBy(*order))
-    return top.select("token", (rank + (first_id - 1)).cast("int").alias("id"), "n")
+    """(``token``, ``id``, ``n``) of all tokens, the most frequent first; ties go by
+    token. ``size`` keeps that many. Ranges of the order are dealt to tasks and
+    numbered there, so no task ranks the whole vocabulary."""
+    ranked = with_range_position(token_counts(df, tokens), [F.desc("n"), F.asc("token")])
+    kept = ranked if size is None else ranked.where(F.col("position") <= size)
+    return kept.select("token", (F.col("position") + (first_id - 1)).cast("int").alias("id"), "n")

@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.functions import arrays as A, text as T
 from pairloom.operators.sizing import join_table
 
-# Longer words are unknown; pieces inside a word carry the prefix
-MAX_WORD_CHARS = 100
+# Fixed value: pieces inside a word carry the prefix
 INSIDE = "##"
 
 
@@ -41,19 +40,22 @@ def _walk(word: Column, ends: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(word)), begin, step, lambda acc: acc["pieces"])
 
 
-def word_pieces(words: DataFrame, vocab: DataFrame) -> DataFrame:
+def word_pieces(words: DataFrame, vocab: DataFrame, max_chars: int | None = None) -> DataFrame:
     """(``word``, ``pieces``) of a table of distinct words.
 
     Candidate pieces are the substrings of each word up to the longest piece of
     the vocabulary; a join marks those the vocabulary has, and the longest per
     start is what the greedy walk needs. The cost follows the distinct words,
     not the text, and the words stay in the tasks that told them apart. No
-    driver copy of the vocabulary, no Python worker.
+    driver copy of the vocabulary, no Python worker. Words longer than ``max_chars``, if
+    given, are unknown.
     """
     known = vocab.select(F.col("token").alias("piece"), F.lit(True).alias("known"))
     longest = known.agg(F.coalesce(F.max(F.length("piece")), F.lit(0)).alias("n")).scalar()
     chars = F.length("word")
-    places = F.when(chars <= MAX_WORD_CHARS, F.sequence(F.lit(1), chars))
+    places = F.sequence(F.lit(1), chars)
+    if max_chars is not None:
+        places = F.when(chars <= max_chars, places)
     starts = words.select("word", F.explode_outer(places).alias("start")).withColumn("_longest", longest)
     last = F.least(chars + 1, F.col("start") + F.greatest("_longest", F.lit(1)))
     spans = starts.select("word", "start", F.explode_outer(F.sequence(F.col("start") + 1, last)).alias("end"))

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions import text as T
 from pairloom.operators.rows import drop_any_null, mark_pairs, truncate_questions
-from pairloom.operators.sizing import spread
-from pairloom.operators.vocab import build_vocab
+from pairloom.operators.vocab import FIRST_ID, build_vocab
 from pairloom.session import stored
 
-VOCAB_SIZE = 5_000
+#: Tokens that are pieces of the piece vocabulary, and what parts their ids from those inside a word
+PIECES = 5_000
 EPOCH_STEPS = 330
 CLASSES = 10
 RUN = "run-0"
@@ -33,8 +33,8 @@ def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFr
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first two lines of each labelled document, blank lines as null."""
-    lines = F.split("text", "\n", 3)
+    """The first line of each labelled document and all that follows it, blank ones as null."""
+    lines = F.split("text", "\n", 2)
     firsts = table(spark, sf_dir, "documents").select(
         "doc_id", *[F.get(lines, F.lit(i)).alias(f"line{i}") for i in (0, 1)]
     )
@@ -72,8 +72,13 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logit ``k`` is the sum of the values at places ``k`` modulo the classes."""
+    def total(k):
+        own = F.filter(F.col("embedding").cast("array<double>"), lambda x, i: i % CLASSES == k)
+        return F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x)
+
     return table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", F.slice("embedding", 1, CLASSES).cast("array<double>").alias("logits")
+        "vec_id", "label", F.array(*[total(k) for k in range(CLASSES)]).alias("logits")
     )
 
 
@@ -90,7 +95,7 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +105,7 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_corpus_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_vocab(document_tokens(spark, sf_dir), F.col("tokens"), VOCAB_SIZE)
+    return build_vocab(document_tokens(spark, sf_dir), F.col("tokens"))
 
 
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,10 +113,11 @@ def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def piece_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vocabulary token, and again as a piece inside a word."""
+    """The most frequent tokens, and again as pieces inside a word: a vocabulary of
+    pieces is small by nature, words beyond it are what is split."""
     def build():
-        words = vocab(spark, sf_dir).select("token", "id")
-        inside = words.select(F.concat(F.lit("##"), "token").alias("token"), F.col("id") + VOCAB_SIZE)
+        words = vocab(spark, sf_dir).where(F.col("id") < FIRST_ID + PIECES).select("token", "id")
+        inside = words.select(F.concat(F.lit("##"), "token").alias("token"), F.col("id") + PIECES)
         return words.union(inside)
 
     return once(spark, sf_dir, "piece_vocab", build)

@@ -7,7 +7,7 @@ uses buckets or segments, a recursive walk where Spark folds an array.
 from __future__ import annotations
 
 from pairloom.functions import text as T
-from pairloom.plans.derive import CLASSES, EPOCH_STEPS, RUN, VOCAB_SIZE
+from pairloom.plans.derive import CLASSES, EPOCH_STEPS, PIECES, RUN
 from pairloom.plans.registry import STOP_WORDS
 
 
@@ -31,7 +31,7 @@ _CTES = {
     "pairs": """
         SELECT d.doc_id AS pair_id,
                nullif(trim(string_split(d.text, chr(10))[1]), '') AS question1,
-               nullif(trim(string_split(d.text, chr(10))[2]), '') AS question2,
+               nullif(trim(CASE WHEN strpos(d.text, chr(10)) > 0 THEN substr(d.text, strpos(d.text, chr(10)) + 1) END), '') AS question2,
                l.quality AS is_duplicate
         FROM documents d JOIN labels l USING (doc_id)""",
     "complete": """
@@ -63,7 +63,7 @@ _CTES = {
         FROM (SELECT doc_id, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM doc_tokens)""",
     "vocab": f"""
         SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 103)::INTEGER AS id, n
-        FROM (SELECT token, count(*) AS n FROM doc_words GROUP BY token ORDER BY n DESC, token LIMIT {VOCAB_SIZE})""",
+        FROM (SELECT token, count(*) AS n FROM doc_words GROUP BY token)""",
     "lemmas": """
         SELECT f.token AS form, l.token AS lemma
         FROM vocab f JOIN vocab l ON f.token = l.token || 's'""",
@@ -71,8 +71,8 @@ _CTES = {
         SELECT v.token, e.vec_id AS row, e.embedding AS vector
         FROM vocab v JOIN embeddings e ON e.vec_id = v.id - 104""",
     "pieces": f"""
-        SELECT token, id FROM vocab
-        UNION ALL SELECT '##' || token, id + {VOCAB_SIZE} FROM vocab""",
+        SELECT token, id FROM vocab WHERE id < 104 + {PIECES}
+        UNION ALL SELECT '##' || token, id + {PIECES} FROM vocab WHERE id < 104 + {PIECES}""",
     "marked_tokens": f"""
         SELECT pair_id, label, list_transform(regexp_extract_all(text, {_q(T.MARKED_TOKEN)}),
                lambda t: CASE WHEN t IN ('[CLS]', '[SEP]') THEN t ELSE lower(t) END) AS tokens
@@ -85,7 +85,8 @@ _CTES = {
                    ELSE coalesce(id, 100) END ORDER BY pos) AS ids
         FROM marked_words LEFT JOIN vocab USING (token) GROUP BY pair_id, label""",
     "logits": f"""
-        SELECT vec_id, label, list_transform(embedding[1:{CLASSES}], lambda x: x::DOUBLE) AS logits
+        SELECT vec_id, label, list_transform(range(0, {CLASSES}), lambda k: list_sum(list_transform(
+                   list_filter(embedding, lambda x, i: (i - 1) % {CLASSES} = k), lambda x: x::DOUBLE))) AS logits
         FROM embeddings""",
     "predicted": """
         SELECT vec_id, label, logits, (list_position(logits, list_max(logits)) - 1)::INTEGER AS prediction,
@@ -134,7 +135,7 @@ def _walk(words: str) -> str:
         words AS ({words}),
         longest AS (SELECT max(length(token)) AS n FROM pieces),
         starts AS (
-            SELECT word, unnest(range(1, length(word) + 1)) AS s FROM words WHERE length(word) <= 100),
+            SELECT word, unnest(range(1, length(word) + 1)) AS s FROM words),
         spans AS (
             SELECT word, s, unnest(range(s + 1, least(length(word) + 1, s + n) + 1)) AS e FROM starts, longest),
         best AS (
@@ -327,10 +328,10 @@ ORACLE: dict[str, str] = {
         f"{_VOCAB} vectors pairs complete",
         """SELECT pair_id, len(tokens)::BIGINT AS n_tokens,
                   coalesce(sum((token IS NOT NULL AND vector IS NULL)::BIGINT), 0)::BIGINT AS n_missing,
-                  round(coalesce(sum(pos * coalesce(vector[1], 0)::DOUBLE), 0), 4) AS first_by_place
+                  round(coalesce(sum(pos * coalesce(list_sum(list_transform(vector, lambda x, j: x::DOUBLE * j)), 0)), 0), 2) AS values_by_place
            FROM first LEFT JOIN placed USING (pair_id, tokens) LEFT JOIN vectors USING (token)
            GROUP BY pair_id, tokens""",
-        f"""first AS (SELECT pair_id, {_tokens('question1')} AS tokens FROM complete),
+        f"""first AS (SELECT pair_id, {_tokens("question1 || ' ' || question2")} AS tokens FROM complete),
             placed AS (SELECT pair_id, tokens, i AS pos, tokens[i] AS token FROM (
                 SELECT *, unnest(range(1, len(tokens) + 1)) AS i FROM first))""",
     ),
@@ -379,7 +380,7 @@ ORACLE: dict[str, str] = {
         """SELECT count(*) AS n_rows, ceil(count(*) / 20)::BIGINT AS n_batches,
                   ceil(count(*) / 20)::BIGINT // 100 AS n_reports FROM complete""",
     ),
-    "progress": "SELECT doc_id, lang FROM documents",
+    "progress": "SELECT count(*) AS processed, count(*) // 100000 AS units FROM documents",
     "build_vocab": _with(_VOCAB, "SELECT token, id, n FROM vocab"),
     "step_loss": _with(
         "train_log reports",
@@ -435,8 +436,10 @@ ORACLE: dict[str, str] = {
     ),
     "default_piece": _with(
         "pairs",
-        f"""SELECT pair_id, CASE WHEN len(t) = 0 THEN '<unk>' ELSE array_to_string(t, ' ') END AS pieces
-            FROM (SELECT pair_id, {_tokens("coalesce(question2, '')")} AS t FROM pairs)""",
+        f"""SELECT pair_id, CASE WHEN len(t1) = 0 THEN '<unk>' ELSE array_to_string(t1, ' ') END AS question1_pieces,
+                   CASE WHEN len(t2) = 0 THEN '<unk>' ELSE array_to_string(t2, ' ') END AS question2_pieces
+            FROM (SELECT pair_id, {_tokens("coalesce(question1, '')")} AS t1, {_tokens("coalesce(question2, '')")} AS t2
+                  FROM pairs)""",
     ),
     "join_tokens": _with("doc_tokens", "SELECT doc_id, array_to_string(tokens, ' ') AS text FROM doc_tokens"),
     "clean_text": _looked_up(

@@ -182,18 +182,21 @@ def vocab_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = D.complete_pairs(spark, sf_dir).select("pair_id", T.tokenize(T.lower_text(F.col("question1"))).alias("tokens"))
+    both = F.concat_ws(" ", "question1", "question2")
+    tokens = D.complete_pairs(spark, sf_dir).select("pair_id", T.tokenize(T.lower_text(both)).alias("tokens"))
     found = L.word_vectors(tokens, D.vectors(spark, sf_dir))
-    total = F.aggregate(
-        F.transform("vectors", lambda v, i: F.coalesce(F.get(v, F.lit(0)), F.lit(0.0)).cast("double") * (i + 1)),
-        F.lit(0.0),
-        lambda acc, x: acc + x,
-    )
+
+    def placed(values):
+        """Every value times its place, summed up."""
+        weighted = F.transform(values, lambda x, i: F.coalesce(x, F.lit(0.0)).cast("double") * (i + 1))
+        return F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x)
+
+    total = placed(F.transform("vectors", lambda v: placed(F.coalesce(v, F.array().cast("array<float>")))))
     return found.select(
         "pair_id",
         F.size("vectors").cast("bigint").alias("n_tokens"),
         F.size(F.filter("vectors", lambda v: v.isNull())).cast("bigint").alias("n_missing"),
-        F.round(total, 4).alias("first_by_place"),
+        F.round(total, 2).alias("values_by_place"),
     )
 
 
@@ -261,8 +264,9 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen, _ = with_progress(_documents(spark, sf_dir).select("doc_id", "lang"))
-    return seen
+    seen, told = with_progress(_documents(spark, sf_dir))
+    seen.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(told.get["processed"], told.get["units"])], "processed bigint, units bigint")
 
 
 @query
@@ -351,10 +355,12 @@ def wordpiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def default_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = T.tokenize(T.lower_text(F.coalesce("question2", F.lit(""))))
-    return D.pairs(spark, sf_dir).select("pair_id", T.default_piece(tokens).alias("pieces")).select(
-        "pair_id", _joined("pieces")
-    )
+    def pieces(question):
+        return T.default_piece(T.tokenize(T.lower_text(F.coalesce(question, F.lit(""))))).alias(f"{question}_pieces")
+
+    names = ("question1", "question2")
+    found = D.pairs(spark, sf_dir).select("pair_id", *[pieces(q) for q in names])
+    return found.select("pair_id", *[_joined(f"{q}_pieces") for q in names])
 
 
 @query

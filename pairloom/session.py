@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_own_scratch: dict[str, str] = {}
+_own_scratch: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(name: str = "pairloom", cores: int = 8) -> SparkSession:
@@ -27,15 +27,20 @@ def local_session(name: str = "pairloom", cores: int = 8) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder the cluster shares between its executors.
 
-    Only where ``spark.checkpoint.dir`` is unset (a single machine) is a folder
-    of our own made, once per application.
+    The folder is that of ``spark.checkpoint.dir`` or of ``setCheckpointDir``. Only
+    a session on one machine may have neither: it gets a temporary folder, once per
+    application, which goes when the interpreter ends. Elsewhere each executor would
+    write to its own disk, so it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        app = spark.sparkContext.applicationId
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = context.applicationId
         if app not in _own_scratch:
-            _own_scratch[app] = tempfile.mkdtemp(prefix="pairloom-")
-        root = _own_scratch[app]
+            _own_scratch[app] = tempfile.TemporaryDirectory(prefix="pairloom-", ignore_cleanup_errors=True)
+        root = _own_scratch[app].name
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

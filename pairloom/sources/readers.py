@@ -46,8 +46,9 @@ def scan_by_stem(
     fmt: str = "parquet",
     **options,
 ) -> DataFrame:
-    """All files under ``folder`` whose path there begins with ``prefix``, with
-    the file name less its extension as ``stem``. The prefix prunes the listing;
+    """All files under ``folder`` whose path there begins with ``prefix``. Their
+    ``stem`` is the first part of that path less its extension, so that a table is
+    one data set, be it a file or a folder of parts. The prefix prunes the listing;
     nested folders are read too."""
     for special in "\\[]{}*?":
         prefix = prefix.replace(special, "\\" + special)
@@ -57,4 +58,9 @@ def scan_by_stem(
         .options(recursiveFileLookup=True, **options)
         .load(f"{folder.rstrip('/')}/{prefix}*")
     )
-    return files.select("*", F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("stem"))
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toUri().getPath()
+    depth = len([part for part in whole.split("/") if part])
+    path = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "")
+    first = F.get(F.split(path, "/+"), F.lit(depth))
+    return files.select("*", F.regexp_replace(first, r"\.[^.]*$", "").alias("stem"))

@@ -33,15 +33,19 @@ def materialize_once(
 ) -> DataFrame:
     """The table at ``path``, built and stored first if it is not there.
 
-    With ``parts``, all of them must be there, else all are built again. A write
-    cut short leaves no success marker and counts as absent.
+    With ``parts``, the table must have been built for all of them, else all are
+    built again; a mark beside the table names them, as a part without rows has no
+    folder. A write cut short leaves no success marker and counts as absent.
     """
-    wanted = [f"{path}/_SUCCESS", *[f"{path}/{part_column}={p}" for p in parts]]
-    if not all(exists(spark, w) for w in wanted):
+    marks = [f"{path}/_part-{p}" for p in parts]
+    if not all(exists(spark, w) for w in [f"{path}/_SUCCESS", *marks]):
         writer = build().write.mode("overwrite")
         if parts:
             writer = writer.partitionBy(part_column)
         writer.parquet(path)
+        for mark in marks:
+            target = spark._jvm.org.apache.hadoop.fs.Path(mark)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
     return spark.read.parquet(path)
 
 

@@ -133,7 +133,7 @@ def test_encode_with_words_and_with_pieces(spark):
 
 
 def test_sizes_are_measured(spark, vocab):
-    assert tuple(measure(vocab, "token")) == (2, 2 * 65, 1)
+    assert tuple(measure(vocab, "token")) == (2, 2 * 65, 1, 2)
     assert tuple(measure(vocab.limit(0), "token")) == (0, 0, 0)
     assert collect_small(vocab, 1) is None
     assert collect_small(vocab, 2).count() == 2
@@ -167,3 +167,23 @@ def test_plans(spark, vocab):
     assert exploded.count("_tokens") == 1  # a token does not carry its list
     salted = _plan(L.token_ids(df, vocab, literal_bytes=0, max_bytes=0))
     assert "SortMergeJoin" in salted and "_salt" in salted
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_repeats_are_the_same_error_at_every_size(spark, vocab, way):
+    twice = vocab.union(spark.createDataFrame([("a", 9, 1)], vocab.schema))
+    with pytest.raises(ValueError, match="token 'a' is not unique"):
+        L.token_ids(tokens_table(spark, [["a"]]), twice, **way)
+    repeated = tokens_table(spark, [["a", "b"]]).union(tokens_table(spark, [["b"]]))
+    with pytest.raises(ValueError, match="pair_id 0 is not unique"):
+        L.token_ids(repeated, vocab, **way)
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_cleaning_drops_unknown_marks_and_stops_after_the_first_base_form(spark, way):
+    vocab = spark.createDataFrame([("cats", 104, 1)], "token string, id int, n long")
+    lemmas = spark.createDataFrame([("&", "and"), ("cats", "cat"), ("cat", "felid")], "form string, lemma string")
+    table = L.cleaning_table(vocab, lemmas)
+    df = spark.createDataFrame([(1, "a & b cats")], "pair_id long, question1 string")
+    assert L.clean_text(df, {"question1": "one"}, table, **way).first()["one"] == "a b felid"
+    assert L.clean_text(df, {"question1": "one"}, table, ["cat"], **way).first()["one"] == "a b"
