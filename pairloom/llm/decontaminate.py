@@ -132,7 +132,7 @@ def latent_space(cut: DataFrame, idf: np.ndarray, rank: int = RANK, extra: int =
 
     def product(basis):
         """The Gram matrix of the passages times ``basis``."""
-        held = spark.sparkContext.broadcast((basis, idf, features))
+        held, width = spark.sparkContext.broadcast((basis, idf, features)), basis.shape[1]
 
         def times(batch):
             basis, idf, features = held.value
