@@ -134,7 +134,7 @@ def test_encode_with_words_and_with_pieces(spark):
 
 def test_sizes_are_measured(spark, vocab):
     assert tuple(measure(vocab, "token")) == (2, 2 * 65, 1, 2)
-    assert tuple(measure(vocab.limit(0), "token")) == (0, 0, 0)
+    assert tuple(measure(vocab.limit(0), "token")) == (0, 0, 0, 0)
     assert collect_small(vocab, 1) is None
     assert collect_small(vocab, 2).count() == 2
     long = spark.createDataFrame([("a" * 1001, 1)], "token string, id int")
