@@ -294,6 +294,31 @@ def test_quality(spark, docs, rows, labels, nothing):
     assert quality.classify(nothing, labels).count() == 0
 
 
+def test_quality_holds_out_trusted_text_at_every_size(spark):
+    draw = random.Random(11)
+    known = ["".join(draw.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    rows = [(i, " ".join(draw.choice(known) for _ in range(60)), ["en", "de", "fr"][i % 3]) for i in range(90)]
+    rows += [(90, " ".join(f"{i:x}#!%" for i in range(60)), "en"), (91, "solo " * 9, "it"), (92, "x" * 40_000, "en")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[0] != 90)) for r in rows], "doc_id long, quality int")
+    found, _ = quality.fit_classifier(table, labels)
+    assert {"en", "de", "fr"} <= set(found.limits) and found.overall is not None
+    got = {r["doc_id"]: r for r in quality.classify(table, labels).collect()}
+    assert not got[90]["kept"] and sum(got[i]["kept"] for i in range(90)) > 70
+    trusted = quality.trusted_ids(labels)
+    held = {r["doc_id"] for r in quality.held_out_ids(table, trusted).collect()}
+    assert {i % 3 for i in held if i < 90} == {0, 1, 2} and 91 not in held and len(held) < 45
+    pair = spark.createDataFrame([(1, "a b", "en"), (2, "a c", "en")], "doc_id long, text string, lang string")
+    assert quality.held_out_ids(pair, pair.select("doc_id")).count() == 1
+
+
+def test_training_sample_passes_over_what_does_not_fit(spark):
+    table = spark.createDataFrame([(i, "x" * (900 if i % 2 else 100)) for i in range(20)], "doc_id long, text string")
+    got = {r["doc_id"] for r in quality.training_sample(table, table.select("doc_id"), most_bytes=1000).collect()}
+    assert len(got) in (2, 10) and sum(900 if i % 2 else 100 for i in got) == 1000
+    assert quality.training_sample(table, table.select("doc_id"), most_bytes=899).count() == 8
+
+
 def test_model_sums_to_one():
     model = quality.Model(
         np.sort(np.array([5, quality.END, quality.UNKNOWN], np.uint64)), np.array([0.2, 0.3, 0.1], np.float32), 0.1, 1.0,
