@@ -9,9 +9,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pairloom.llm import decontaminate, mixing, neardup, pii, quality, repeats, scoring, suffixarray, suffixtrees, topk, warc
+from pairloom.llm.words import word_slices
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, value long, run long, key string"
 
@@ -319,6 +321,28 @@ def test_training_sample_passes_over_what_does_not_fit(spark):
     assert quality.training_sample(table, table.select("doc_id"), most_bytes=899).count() == 8
 
 
+def test_quality_rejects_repetition(spark):
+    draw = random.Random(12)
+    known = ["".join(draw.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    rows = [(i, " ".join(draw.choice(known) for _ in range(60)), "en") for i in range(90)]
+    sentence = " ".join(known[:5])
+    rows += [(90, f"{known[0]} " * 60, "en"), (91, f"{sentence} " * 12, "en"), (92, f"{known[1]} " * 5000, "en")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 90)) for i in range(93)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["kept"] for r in quality.classify(table, labels).collect()}
+    assert not any(got[i] for i in (90, 91, 92)) and sum(got[i] for i in range(90)) > 80
+    assert {r["doc_id"] for r in quality.good_rows(table, labels).collect()} == {i for i, kept in got.items() if kept}
+
+
+def test_distinct_trigrams():
+    draw = random.Random(13)
+    texts = [[draw.choice("abc") for _ in range(draw.randint(0, 40))] for _ in range(50)]
+    column = pa.array([" ".join(t).encode() for t in texts])
+    got = [n for _, _, w in word_slices(column, 64) for n in quality.distinct_trigrams(w, w.hashes())]
+    padded = [["^", "^", *t, "$"] for t in texts]
+    assert got == [len({tuple(t[i : i + 3]) for i in range(len(t) - 2)}) for t in padded]
+
+
 def test_model_sums_to_one():
     model = quality.Model(
         np.sort(np.array([5, quality.END, quality.UNKNOWN], np.uint64)), np.array([0.2, 0.3, 0.1], np.float32), 0.1, 1.0,
