@@ -51,11 +51,12 @@ def whole_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "emb
     return vectors.where(x.isNotNull() & ~bad).select(F.col(id_col).cast("bigint").alias("id"), scaled.alias("v")).where("id is not null")
 
 
-BLOCK = "block bigint, n int, dim int, ids binary, cells binary"
+BLOCK = "n int, dim int, ids binary, cells binary"
 
 
 def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows packed ``size`` to a block, as they lie in their partitions."""
+    """Rows packed ``size`` to a block, as they lie in their partitions, each with a number
+    of its own; to be stored before use, which settles the numbers."""
     schema = arrow_schema(BLOCK)
 
     def pack(batches):
@@ -70,11 +71,11 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
                 cells = np.zeros((high - low, dim), np.int64)
                 cells[np.arange(dim) < lengths[low:high, None]] = flat[edges[low] : edges[high]]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([int(ids[low]) if high > low else 0]), pa.array([high - low], pa.int32()), pa.array([dim], pa.int32()),
+                    pa.array([high - low], pa.int32()), pa.array([dim], pa.int32()),
                     pa.array([ids[low:high].astype(np.int64).tobytes()]), pa.array([cells.tobytes()]),
                 ], schema=schema)
 
-    return rows.mapInArrow(pack, BLOCK)
+    return rows.mapInArrow(pack, BLOCK).withColumn("block", F.monotonically_increasing_id())
 
 
 def _matrix(ids: bytes, cells: bytes, n: int, dim: int, width: int):
@@ -147,7 +148,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, candidates: int =
     """The ``k`` best candidates of each query, both as of ``whole_vectors``:
     (``query_id``, ``rank``, ``vec_id``, ``score``)."""
     once = queries.groupBy("id").agg(F.min("v").alias("v"))
-    query_blocks = stored(blocks(once, asked), "queries").withColumn("turn", F.pmod(F.xxhash64("block", "n"), F.lit(1 << 40)))
+    query_blocks = stored(blocks(once, asked), "queries").withColumn("turn", F.col("block"))
     # one row per block of queries: the turns a block of candidates has to take
     turns = query_blocks.select("turn", F.col("n").alias("q_n"), F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"))
     packed = stored(blocks(vectors, candidates), "candidates")
@@ -160,12 +161,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, candidates: int =
         for row in batch.to_pylist():
             width = max(row["dim"], row["q_dim"])
             query_ids, asked_for = _matrix(row["q_ids"], row["q_cells"], row["q_n"], row["q_dim"], width)
-            if kept is None or kept[0] != (row["block"], width, row["n"]):
+            if kept is None or kept[0] != (row["block"], width):
                 ids, values = _matrix(row["ids"], row["cells"], row["n"], row["dim"], width)
-                kept = ((row["block"], width, row["n"]), ids, SortedLists(values))
+                kept = ((row["block"], width), ids, SortedLists(values))
             q, c, score = best_in_block(kept[2], kept[1], query_ids, asked_for, k)
             yield pa.RecordBatch.from_arrays([pa.array(query_ids[q]), pa.array(kept[1][c]), pa.array(score)], schema=schema)
 
-    found = map_batches(met.repartition("block", "n", "turn"), search, FOUND)
+    found = map_batches(met.repartition("block", "turn"), search, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

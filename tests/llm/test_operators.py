@@ -229,6 +229,16 @@ def test_top_k(spark):
         assert sorted(found) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
 
 
+def test_top_k_of_an_id_repeated_over_blocks(spark):
+    draw = np.random.default_rng(6)
+    data = [(7, [float(x) for x in np.float32(draw.standard_normal(4))]) for _ in range(24)] + [(1, [1.0, -1.0, 0.5, 0.25])]
+    vectors = topk.whole_vectors(spark.createDataFrame(data, "vec_id long, embedding array<float>").coalesce(1))
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(vectors, vectors.where("id = 1"), 10, candidates=4).collect())
+    whole = [[math.floor(1024 * x) for x in v] for _, v in data]
+    best = sorted((-sum(a * b for a, b in zip(whole[-1], v)) for v in whole[:-1]))[:10]
+    assert got == [(n + 1, 7, -s) for n, s in enumerate(best)]
+
+
 def test_warc(spark, tmp_path):
     html = ["<p>é</p>", None, "", "WARC/1.1\r\n\r\n\r\n\r\nWARC/1.1", "<p>é</p>", "x" * 100_000]
     pages = spark.createDataFrame([(i, f"http://e/{i}", h) for i, h in enumerate(html)] + [(4, "http://e/4", "<p>é</p>")], "page_id long, url string, html string")
