@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, mixing, neardup, pii, quality, scoring, suffixarray, suffixtrees, topk, warc
+from pairloom.llm import decontaminate, mixing, neardup, pii, quality, rules, scoring, suffixarray, suffixtrees, topk, warc
 from pairloom.llm.common import table
 from pairloom.session import scratch_path
 
@@ -93,6 +93,75 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rules", "kept"
+    )
+
+
+def _rules_sql() -> str:
+    """The rules as SQL: counts, buckets of ratios, quartiles by group, limits, verdicts."""
+    ratios = {
+        "mean_chars": "1000 * word_chars // greatest(n_words, 1)", "symbols": "1000 * n_symbols // greatest(n_words, 1)",
+        "dup_lines": "1000 * n_dup_lines // greatest(n_lines, 1)", "repeats": "1000 * n_repeat_words // greatest(n_words, 1)",
+        "marks": "1000 * n_marks // greatest(word_chars, 1)", "capitals": "1000 * n_capitals // greatest(word_chars, 1)",
+    }
+    sub = rules.SUB
+    shift = f"greatest(length(bin(v)) - {sub + 1}, 0)"
+    slack = " ".join(f"WHEN '{m}' THEN {v}" for m, v in rules.SLACK.items())
+
+    def quartiles(name, by):
+        group = ", ".join([*by, "m"])
+        ranks = ", ".join(f"min(CASE WHEN upto >= greatest((total * {q} + 999) // 1000, 1) THEN b END) AS {c}" for c, q in (("b1", 250), ("b3", 750)))
+        value = lambda b: f"(({b} - greatest({b} // {1 << sub} - 1, 0) * {1 << sub}) << greatest({b} // {1 << sub} - 1, 0)) + ((1::BIGINT << greatest({b} // {1 << sub} - 1, 0)) >> 1)"
+        return f"""{name} AS (SELECT {group}, total, {value("b1")} AS q1, {value("b3")} AS q3 FROM (
+          SELECT {group}, max(total) AS total, {ranks} FROM (
+            SELECT *, sum(n) OVER (PARTITION BY {group}) AS total, sum(n) OVER (PARTITION BY {group} ORDER BY b) AS upto
+            FROM (SELECT {group}, b, sum(n)::BIGINT AS n FROM sketch GROUP BY {group}, b)) GROUP BY {group}))"""
+
+    named = ", ".join(f"{c} AS {m}" for m, c in ratios.items())
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+u AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+g AS (SELECT rid, i, {", ".join(f"lead(word, {k}) OVER o AS w{k}" for k in range(rules.WINDOW))} FROM u WINDOW o AS (PARTITION BY rid ORDER BY i)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, w0, w1, w2, w3, w4) AS n FROM g WHERE w4 IS NOT NULL) WHERE n > 1),
+c AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM r, range({rules.WINDOW}) AS x(k) GROUP BY rid),
+l AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+counts AS MATERIALIZED (SELECT d.rid, doc_id, lang, source, t, len(ws)::BIGINT AS n_words,
+  length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+  length(regexp_replace(t, '[^!-/:-@\\[-`{{-~]', '', 'g'))::BIGINT AS n_marks,
+  length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals
+  FROM d JOIN w USING (rid) JOIN l USING (rid) LEFT JOIN c USING (rid)),
+judged AS MATERIALIZED (SELECT *, n_words < {rules.FEWEST_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed, {named} FROM counts),
+once AS (SELECT DISTINCT lang, source, t, {", ".join(ratios)} FROM judged WHERE NOT base_failed),
+long AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS m, ({m})::BIGINT AS v FROM once" for m in ratios)}),
+sketch AS MATERIALIZED (SELECT lang, source, m, {shift} * {1 << sub} + (v >> {shift}) AS b, count(*) AS n FROM long GROUP BY ALL),
+{quartiles("own", ["lang", "source"])}, {quartiles("spoken", ["lang"])}, {quartiles("every", [])},
+q AS (SELECT o.lang, o.source, o.m,
+  CASE WHEN o.total >= {rules.FEWEST} THEN o.q1 WHEN s.total >= {rules.FEWEST} THEN s.q1 ELSE e.q1 END AS q1,
+  CASE WHEN o.total >= {rules.FEWEST} THEN o.q3 WHEN s.total >= {rules.FEWEST} THEN s.q3 ELSE e.q3 END AS q3
+  FROM own o JOIN spoken s ON o.lang IS NOT DISTINCT FROM s.lang AND o.m = s.m JOIN every e ON o.m = e.m),
+edges AS (SELECT *, greatest({rules.SPREAD} * (q3 - q1), CASE m {slack} END) AS reach FROM q),
+fails AS (SELECT rid, string_agg(m, ',' ORDER BY k) AS failed FROM (
+  SELECT j.rid, e.m, e.k FROM (
+    {" UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS m, {i} AS k, ({m})::BIGINT AS v FROM judged" for i, m in enumerate(ratios))}) j
+  JOIN (SELECT *, CASE m {" ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(ratios))} END AS k FROM edges) e
+  ON j.lang IS NOT DISTINCT FROM e.lang AND j.source IS NOT DISTINCT FROM e.source AND j.m = e.m
+  WHERE j.v > e.q3 + e.reach OR (e.m IN ({", ".join(repr(m) for m in rules.LOWER)}) AND j.v < e.q1 - e.reach)) x(rid, m, k) GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  coalesce(failed, '') AS failed_rules, NOT base_failed AND failed IS NULL AS kept
+FROM judged LEFT JOIN fails USING (rid)
+"""
+
+
+ORACLE["op11_rules"] = _rules_sql()
+
+
 ORACLE["op7_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
