@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, mixing, neardup, pii, quality, rules, scoring, suffixarray, suffixtrees, topk, warc
+from pairloom.llm import alignment, decontaminate, mixing, neardup, periodic, pii, quality, rules, scoring, suffixarray, suffixtrees, topk, warc
 from pairloom.llm.common import table
 from pairloom.session import scratch_path
 
@@ -162,6 +164,32 @@ FROM judged LEFT JOIN fails USING (rid)
 ORACLE["op11_rules"] = _rules_sql()
 
 
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def planted(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """The words with a repetition planted in a tenth of the texts, as the crc of the id has it."""
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapse(table(spark, sf_dir, "documents"), planted).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "n_dropped", "runs_sha256", "collapsed_sha256"
+    )
+
+
 ORACLE["op7_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
