@@ -24,10 +24,24 @@ def raw(column: str | Column = "text") -> Column:
     return F.coalesce(column.cast("string").cast("binary"), F.lit(b"")).alias("raw")
 
 
+def text_bytes(batch: pa.RecordBatch) -> pa.Array:
+    """The column ``text`` of a batch, whatever its type, for functions that read its bytes."""
+    column = batch.column("text")
+    return column if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column.cast(pa.string())
+
+
 def word_count(column: Column) -> Column:
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, change: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``change`` on each Arrow batch of ``df``."""
 

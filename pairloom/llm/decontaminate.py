@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.common import arrow_schema, map_batches, raw
+from pairloom.llm.common import arrow_schema, map_batches, raw, text_bytes
 from pairloom.llm.words import LOWER, Words, find_words, slices
 from pairloom.session import stored
 
@@ -327,12 +327,11 @@ def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
         held = docs.sparkSession.sparkContext.broadcast(build_index(docs, block, idf))
 
         def drop(batch, held=held):
-            clean = np.ones(batch.num_rows, bool)
-            for low, high, data, edges in slices(batch.column("_raw")):
+            for low, high, data, edges in slices(text_bytes(batch)):
+                clean = np.ones(high - low, bool)
                 for text, *_ in search(bare_words(data, edges), held.value):
-                    clean[low + text] = False
-            kept = batch.filter(pa.array(clean))
-            yield kept.select([c for c in kept.schema.names if c != "_raw"])
+                    clean[text] = False
+                yield batch.slice(low, high - low).filter(pa.array(clean))
 
-        docs = map_batches(docs.withColumn("_raw", raw()), drop, docs.schema)
+        docs = map_batches(docs, drop, docs.schema)
     return docs

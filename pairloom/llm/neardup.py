@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.common import arrow_schema, linked_classes, map_batches, raw
+from pairloom.llm.common import arrow_schema, free_name, linked_classes, map_batches, raw
 from pairloom.llm.words import LOWER, Words, mixed, word_slices
 from pairloom.session import stored
 
@@ -226,8 +226,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int
     ).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) -> DataFrame:
-    """Per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
+def components(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id``, ``n``, ``node``, ``text_key`` of each document, ``node``, ``nid``, ``least`` id and ``root`` of
+    each different set); sets of one root are a component, one without a root is its own."""
     rows = stored(sketches(docs, retained), "sketches")
     number = F.shiftleft(F.shiftright("m", 33), 24).bitwiseOR(F.col("m").bitwiseAND(F.lit((1 << 24) - 1)))
     reps = stored(
@@ -279,6 +280,12 @@ def near_duplicates(docs: DataFrame, retained: int = RETAINED, short: int = SHOR
 
     linked = classes.select(F.col("node").bitwiseAND(F.lit((1 << _ID_BITS) - 1)).alias("nid"), "root")
     rooted = stored(reps.select("node", "nid", "least").join(linked, "nid", "left"), "rooted")
+    return rows.select("doc_id", "n", "node", "text_key"), rooted
+
+
+def near_duplicates(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) -> DataFrame:
+    """Per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
+    rows, rooted = components(docs, retained, short)
     smallest = stored(rooted.where("root is not null").groupBy("root").agg(F.min("least").alias("smallest")), "smallest")
     parts = rooted.join(smallest, "root", "left").select("node", F.coalesce("smallest", "least").alias("component"))
     parts = stored(parts, "components")
@@ -289,3 +296,20 @@ def near_duplicates(docs: DataFrame, retained: int = RETAINED, short: int = SHOR
         "doc_id", "n_shingles", F.col("component").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) -> DataFrame:
+    """One row of each component, with all columns: that of the smallest id, null last, then of the
+    smallest text key. Rows without words are components of their own, but for repeated rows."""
+    rows, rooted = components(docs, retained, short)
+    group = F.coalesce(F.col("root"), -F.col("nid") - 1).alias("group")
+    placed = rows.where("node is not null").join(rooted.select("node", group), "node")
+    first = placed.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
+    # an id and a text key are one group's: wordless rows have keys no group has
+    chosen = first.select("first.doc_id", "first.text_key").union(rows.where("node is null").select("doc_id", "text_key").distinct())
+    own, key, held = (free_name(docs.columns, c) for c in ("_own_key", "_text_key", "_held"))
+    chosen = stored(chosen.select(F.col("doc_id").alias(held), F.col("text_key").alias(key)), "chosen")
+    met = docs.withColumn(own, text_key()).join(
+        chosen, (F.col(own) == F.col(key)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(held))
+    )
+    return met.dropDuplicates([held, key]).select(*[F.col(f"`{c}`") for c in docs.columns])

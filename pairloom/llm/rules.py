@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from pairloom.llm.common import map_batches, raw
+from pairloom.llm.common import free_name, map_batches, raw
 from pairloom.llm.wordids import numbered, repeated_windows
 from pairloom.llm.words import SPACE, slices
 from pairloom.operators.sizing import join_table
@@ -95,14 +95,6 @@ def counts_of(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def free_name(taken: list[str], name: str) -> str:
-    """``name``, lengthened until no column has it."""
-    held = {c.lower() for c in taken}
-    while name.lower() in held:
-        name += "_"
-    return name
-
-
 def measure(docs: DataFrame, keep: list[str] = ("doc_id",), name: str = "rule") -> DataFrame:
     """``keep`` and a struct ``name`` of the counts of each text; no shuffle."""
     fields = [docs.schema[c] for c in keep]
