@@ -5,8 +5,8 @@ result is written as Parquet and read again as the next one's input. All but the
 last return the columns of ``documents``, whatever others the table has.
 
 1. quality: documents above the perplexity threshold of their language go;
-2. near_duplicates: one document of each group stays, the one of the smallest id; rows
-   without an id all stay, and repeats of one row are one row;
+2. near_duplicates: one row of each group stays, the one of the smallest id, whatever ids
+   the others have or lack;
 3. decontamination: documents that hold a benchmark item go;
 4. pii: personal data becomes its kind in brackets, ``n_chars`` follows the text;
 5. mixing: one row per document with its source's target, its number of copies in the
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import decontaminate, mixing, neardup, pii, quality as Q
 from pairloom.llm.common import table
-from pairloom.session import scratch_path, stored
+from pairloom.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = stored(neardup.near_duplicates(docs).where("kept").select("doc_id").distinct(), "kept")
-    chosen = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return chosen.select(*docs.columns).union(docs.where("doc_id is null"))
+    return neardup.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
