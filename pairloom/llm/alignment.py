@@ -32,6 +32,7 @@ import functools
 import hashlib
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -170,7 +171,7 @@ def _digits(most: int) -> np.ndarray:
 def aligned(ids_a: list[list[int]], ids_b: list[list[int]], tools: Tokenizers) -> list[tuple]:
     """Per text: (n_a, n_b, n_groups, n_links, digest of the groups, linked id pairs, their times)."""
     sizes_a, sizes_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-    a, b = (np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b))
+    a, b = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((ids_a, sizes_a), (ids_b, sizes_b)))
     first_a, first_b = (np.r_[0, np.cumsum(x)] for x in (sizes_a, sizes_b))
     if not len(a):
         return [(0, 0, 0, 0, "", [], [])] * len(ids_a)
@@ -184,16 +185,20 @@ def aligned(ids_a: list[list[int]], ids_b: list[list[int]], tools: Tokenizers) -
     linked = end_b[met] == end_a
     pairs = (a[linked] << _SHIFT) | b[met[linked]]
     upto = np.r_[0, np.cumsum(linked)]
-    # every token followed by its mark, in order of group and side
-    group, side = last, np.zeros(len(pointer), np.int64)
-    side[place_b] = 1
-    token = np.empty(len(pointer), np.int64)
-    token[place_a], token[place_b] = a, b
-    order = np.lexsort((side, group))
-    group, side, token = group[order], side[order], token[order]
-    mark = np.full(len(order), ord(","), np.uint8)
-    mark[:-1][side[1:] != side[:-1]] = ord("|")
-    fresh = np.r_[group[1:] != group[:-1], True]
+    # every token followed by its mark, in order of group and side: a token comes after those of
+    # its own side before it and those of the other side in groups before it, or in its own
+    is_last = last == np.arange(len(last))
+    group = np.cumsum(is_last) - is_last
+    upto_b = np.r_[0, is_b[is_last] + 1]
+    upto_a = np.r_[0, np.flatnonzero(linked) + 1]
+    at_a = np.arange(len(a)) + upto_b[group[place_a]]
+    at_b = np.arange(len(b)) + upto_a[group[place_b] + 1]
+    token = np.empty(len(last), np.int64)
+    token[at_a], token[at_b] = a, b
+    mark = np.full(len(last), ord(","), np.uint8)
+    mark[(upto_a + upto_b)[:-1] + np.diff(upto_a) - 1] = ord("|")
+    fresh = np.zeros(len(last), bool)
+    fresh[(upto_a + upto_b)[1:] - 1] = True
     mark[fresh] = ord(";")
     digits = _digits(max(len(tools.side_a.lengths), len(tools.side_b.lengths)))
     cells = np.concatenate([digits[token], mark[:, None]], axis=1)
