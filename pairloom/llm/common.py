@@ -12,6 +12,8 @@ from pairloom.session import stored
 
 #: A regular expression for one word.
 WORD = r"[^\x20\x09-\x0D]+"
+#: The most bytes of an Arrow batch of whole rows.
+ROW_BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +55,15 @@ def map_batches(df: DataFrame, change: Callable[[pa.RecordBatch], Iterator[pa.Re
     return df.mapInArrow(run, schema)
 
 
+def map_rows(docs: DataFrame, change: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``change`` on each Arrow batch of whole rows, texts and all. Such batches are bounded by bytes, as
+    a task holds several copies of one; a bound that the session has set itself stays."""
+    conf, default = docs.sparkSession.conf, str(64 << 20) + "b"
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", default) == default:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ROW_BATCH_BYTES))
+    return map_batches(docs, change, docs.schema)
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     """The Arrow schema of a DDL string of plain types."""
     kinds = {

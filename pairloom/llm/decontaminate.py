@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.common import arrow_schema, map_batches, raw, text_bytes
+from pairloom.llm.common import arrow_schema, map_batches, map_rows, raw, text_bytes
 from pairloom.llm.words import LOWER, Words, find_words, slices
 from pairloom.session import stored
 
@@ -333,5 +333,5 @@ def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
                     clean[text] = False
                 yield batch.slice(low, high - low).filter(pa.array(clean))
 
-        docs = map_batches(docs, drop, docs.schema)
+        docs = map_rows(docs, drop)
     return docs
