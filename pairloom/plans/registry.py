@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions import arrays as A, text as T
 from pairloom.functions.keys import SEED
-from pairloom.operators import batches as B, classes as C, lookup as L, metrics as M, model as ML, rows as R, runlog
-from pairloom.operators import split as S
+from pairloom.operators import batches as B, classes as C, lookup as L, metrics as M, model as ML, network as N, rows as R, runlog
+from pairloom.operators import split as S, trainer as TR
 from pairloom.operators.encode import encode_pieces, encode_samples
 from pairloom.operators.progress import with_progress
 from pairloom.operators.wordpiece import distinct_words, piece_ids, word_pieces
@@ -478,3 +478,46 @@ def evaluate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         split = rows.where(F.col("split") == name)
         writers.append_metrics(ML.evaluate_split(model, split, name, D.RUN, seed=SEED), path)
     return writers.read_metrics(spark, path).select("run_id", "epoch", "name", _r("value"))
+
+
+# Training by epochs ---------------------------------------------------------
+
+_SETTINGS = N.Config(validate_from=2)
+_runs: dict[tuple[str, str], str] = {}
+
+
+def _trained(spark, sf_dir):
+    """The folder of a run, trained once per application: stopped after two epochs, then taken up again."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _runs:
+        folder = scratch_path(spark, "run")
+        rows = _model_rows(spark, sf_dir)
+        train, valid = (TR.text_rows(rows.where(F.col("split") == s), _SETTINGS.slots) for s in S.SPLIT_NAMES[:2])
+        for until in (2, None):
+            TR.train(train, folder, _SETTINGS, D.RUN, valid, until)
+        _runs[key] = folder
+    return _runs[key]
+
+
+@query
+def train_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = TR.epoch_summary(spark, _trained(spark, sf_dir))
+    named = [F.round(F.col("validation")[n], 4).alias(c) for c, n in (
+        ("valid_loss", "valid_loss"), ("valid_acc", "Overall ACC validation"), ("valid_f1_macro", "F1 Macro validation"),
+    )]
+    return found.select("run_id", "epoch", "n_steps", _r("train_loss", 4), *named)
+
+
+@query
+def train_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, by = _trained(spark, sf_dir), ["run_id", "window_no"]
+    cells = TR.window_cells(spark, folder, 10)
+    overall = M.overall_metrics(cells, by)
+    return overall.select(*by, "n_rows", *[_r(c, 4) for c in ("overall_acc", "f1_macro", "overall_mcc")])
+
+
+@query
+def predict_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = TR.load(spark, _trained(spark, sf_dir))
+    rows = _model_rows(spark, sf_dir).where(F.col("split") == S.SPLIT_NAMES[2])
+    return TR.predict(model, TR.text_rows(rows, model.config.slots)).select("pair_id", "label", "prediction", _r("loss", 4))
