@@ -7,6 +7,7 @@ uses buckets or segments, a recursive walk where Spark folds an array.
 from __future__ import annotations
 
 from pairloom.functions import text as T
+from pairloom.operators.wordvectors import LEAST, WINDOW
 from pairloom.plans.derive import CLASSES, EPOCH_STEPS, PIECES, RUN
 from pairloom.plans.registry import STOP_WORDS
 
@@ -304,6 +305,17 @@ ORACLE: dict[str, str] = {
         "SELECT '[CLS] ' || question1 || ' [SEP] ' || question2 || ' [SEP] ' AS text, is_duplicate AS label FROM pairs",
     ),
     "lower_text": "SELECT doc_id, lower(text) AS text FROM documents",
+    "cooccurrence": _with(
+        "doc_tokens doc_words",
+        """SELECT a, b, n, round(greatest(ln(CASE WHEN a = b THEN 2 * n ELSE n END * total / (l.m::DOUBLE * r.m)), 0), 6) AS ppmi
+           FROM known JOIN sums l ON l.w = a JOIN sums r ON r.w = b CROSS JOIN (SELECT sum(m)::DOUBLE AS total FROM sums)""",
+        f"""words AS (SELECT token AS w FROM doc_words GROUP BY token HAVING count(*) >= {LEAST}),
+            near AS (SELECT l.token AS x, r.token AS y FROM doc_words l JOIN doc_words r
+                ON l.doc_id = r.doc_id AND r.pos > l.pos AND r.pos <= l.pos + {WINDOW}),
+            known AS (SELECT least(x, y) AS a, greatest(x, y) AS b, count(*) AS n FROM near
+                WHERE x IN (SELECT w FROM words) AND y IN (SELECT w FROM words) GROUP BY ALL),
+            sums AS (SELECT w, sum(n)::BIGINT AS m FROM (SELECT a AS w, n FROM known UNION ALL SELECT b, n FROM known) GROUP BY w)""",
+    ),
     "drop_punct": _doc_tokens(
         f"list_filter(tokens, lambda t: NOT regexp_matches(t, {_q(T.PUNCT_OR_SPACE_TOKEN)}))"
     ),

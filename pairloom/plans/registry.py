@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairloom.functions import arrays as A, text as T
 from pairloom.functions.keys import SEED
 from pairloom.operators import batches as B, classes as C, lookup as L, metrics as M, model as ML, network as N, rows as R, runlog
-from pairloom.operators import split as S, trainer as TR
+from pairloom.operators import split as S, trainer as TR, wordvectors as WV
 from pairloom.operators.encode import encode_pieces, encode_samples
 from pairloom.operators.progress import with_progress
 from pairloom.operators.wordpiece import distinct_words, piece_ids, word_pieces
@@ -200,6 +200,22 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, tokens = D.document_tokens(spark, sf_dir), F.col("tokens")
+    words = WV.known_words(docs, tokens)
+    cells = WV.information(WV.pair_counts(docs, tokens), words)
+    named = [words.select(F.col("id").alias(i), F.col("token").alias(t)) for i, t in (("i", "a"), ("j", "b"))]
+    return cells.join(named[0], "i").join(named[1], "j").select("a", "b", "n", _r("ppmi"))
+
+
+@query
+def learned_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WV.learn(D.document_tokens(spark, sf_dir), F.col("tokens")).select(
+        "token", "row", "n", F.array_join(F.transform("vector", lambda x: F.round(x.cast("double"), 2).cast("string")), " ").alias("vector")
+    )
+
+
 @query
 def lemma_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = D.document_tokens(spark, sf_dir)
