@@ -436,6 +436,14 @@ ORACLE: dict[str, str] = {
         _PAIRS, "SELECT pair_id, is_duplicate FROM drawn WHERE drawn_as <= round_even(0.6::DOUBLE * n, 0)"
     ),
     "weighted_split": _with(f"{_PAIRS} split", "SELECT pair_id, is_duplicate, split FROM split"),
+    "stratified_split": _with(
+        "pairs complete",
+        """SELECT pair_id, is_duplicate, CASE WHEN place <= first THEN 'train_split'
+               WHEN place <= first + round_even(0.5::DOUBLE * (n - first), 0) THEN 'valid_split' ELSE 'test_split' END AS split
+           FROM (SELECT *, round_even(0.6::DOUBLE * n, 0) AS first FROM drawn)""",
+        """drawn AS (SELECT pair_id, is_duplicate, count(*) OVER (PARTITION BY is_duplicate) AS n,
+               row_number() OVER (PARTITION BY is_duplicate ORDER BY md5(pair_id || ':123'), pair_id) AS place FROM complete)""",
+    ),
     "shuffle": f"SELECT doc_id, {_SHUFFLED.format(key='doc_id')} AS position FROM documents",
     "argmax": _with("logits predicted", "SELECT vec_id, label, prediction FROM predicted"),
     "replace_punct": f"SELECT doc_id, {_replaced('text')} AS text FROM documents",

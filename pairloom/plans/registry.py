@@ -341,6 +341,12 @@ def weighted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.split_pairs(D.pairs(spark, sf_dir)).select("pair_id", "is_duplicate", "split")
 
 
+@query
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    complete = D.complete_pairs(spark, sf_dir).select("pair_id", "is_duplicate")
+    return S.stratified_split(complete, "is_duplicate")
+
+
 @query
 def shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.shuffled(_documents(spark, sf_dir).select("doc_id"), "doc_id")

@@ -157,3 +157,26 @@ def test_running_totals_across_blocks(spark):
 def test_row_count(spark):
     got = R.row_count(spark.range(4001)).first()
     assert (got["n_rows"], got["n_batches"], got["n_reports"]) == (4001, 201, 2)
+
+
+@pytest.mark.parametrize("fractions", [(0.6, 0.5, 1.0), (0.3, 0.5)])
+def test_stratified_split_keeps_class_shares(spark, fractions):
+    draw = random.Random(4)
+    sizes = {"a": 301, "b": 37, "c": 3, None: 11, "": 1}
+    ids = list(range(sum(sizes.values())))
+    draw.shuffle(ids)
+    rows = [(ids.pop(), label) for label, n in sizes.items() for _ in range(n)]
+    names = ("train_split", "valid_split", "test_split")[: len(fractions)]
+    df = spark.createDataFrame(rows, "pair_id long, label string")
+    got = S.stratified_split(df.repartition(5), "label", fractions, names).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, S.stratified_split(df.repartition(1), "label", fractions, names).collect()), key=str)
+    for label, n in sizes.items():
+        mine = sorted((r for r in rows if r[1] == label), key=lambda r: (hashlib.md5(f"{r[0]}:123".encode()).hexdigest(), r[0]))
+        left, at = n, 0
+        for fraction, name in zip(fractions, names):
+            taken = round(left * fraction)
+            share = n * fraction * math.prod(1 - f for f in fractions[: names.index(name)])
+            assert abs(taken - share) <= 1
+            assert sorted(r["pair_id"] for r in got if r["label"] == label and r["split"] == name) == sorted(r[0] for r in mine[at : at + taken])
+            left, at = left - taken, at + taken
+    assert S.stratified_split(df.where("false"), "label").collect() == []
