@@ -505,6 +505,8 @@ def evaluate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Training by epochs ---------------------------------------------------------
 
 _SETTINGS = N.Config(validate_from=2)
+#: An epoch of the smallest tables has three batches
+REPORT_EVERY = 2
 _runs: dict[tuple[str, str], str] = {}
 
 
@@ -533,7 +535,7 @@ def train_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def train_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, by = _trained(spark, sf_dir), ["run_id", "window_no"]
-    cells = TR.window_cells(spark, folder, 10)
+    cells = TR.window_cells(spark, folder, REPORT_EVERY)
     overall = M.overall_metrics(cells, by)
     return overall.select(*by, "n_rows", *[_r(c, 4) for c in ("overall_acc", "f1_macro", "overall_mcc")])
 
