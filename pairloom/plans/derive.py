@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions import text as T
+from pairloom.operators import lemmas as LM
 from pairloom.operators.rows import drop_any_null, mark_pairs, truncate_questions
 from pairloom.operators.vocab import FIRST_ID, build_vocab
 from pairloom.session import stored
@@ -16,6 +17,9 @@ PIECES = 5_000
 EPOCH_STEPS = 330
 CLASSES = 10
 RUN = "run-0"
+#: Endings that may part a word of the lexicon from its base, and what part of its words is held out
+ENDINGS = ["s", "es", "e", "en", "er", "ed", "ing", "t"]
+HELD_OUT = 5
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -134,6 +138,40 @@ def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "lemmas", build)
 
 
+def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vocabulary token with the longest other one it is an extension of by one of ``ENDINGS``, or with
+    itself, and its id."""
+    def build():
+        words = vocab(spark, sf_dir).select(F.col("token").alias("form"), "id")
+        rests = F.array(*[
+            F.when(F.col("form").endswith(e), F.expr(f"left(form, length(form) - {len(e)})")) for e in ENDINGS
+        ])
+        bases = words.select(F.col("form").alias("rest"))
+        found = words.select("form", F.explode(rests).alias("rest")).where("rest <> ''").join(bases, "rest")
+        longest = found.groupBy("form").agg(F.max_by("rest", F.length("rest")).alias("rest"))
+        return words.join(longest, "form", "left").select("form", F.coalesce("rest", "form").alias("lemma"), "id")
+
+    return once(spark, sf_dir, "lexicon", build)
+
+
+def known_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lexicon but for its held-out words."""
+    return lexicon(spark, sf_dir).where(F.col("id") % HELD_OUT != 0)
+
+
+def lemma_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "lemma_rules", lambda: LM.learn_rules(known_lexicon(spark, sf_dir)))
+
+
+def all_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base forms of all vocabulary tokens, those the lexicon holds out by rule."""
+    def build():
+        forms = vocab(spark, sf_dir).select(F.col("token").alias("form"))
+        return LM.lemma_table(forms, known_lexicon(spark, sf_dir), lemma_rules(spark, sf_dir))
+
+    return once(spark, sf_dir, "all_lemmas", build)
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embedding whose number is the rank of a token: a stand-in."""
     def build():

@@ -7,8 +7,9 @@ uses buckets or segments, a recursive walk where Spark folds an array.
 from __future__ import annotations
 
 from pairloom.functions import text as T
+from pairloom.operators.lemmas import LEAST as LEAST_VOTES, LONGEST
 from pairloom.operators.wordvectors import LEAST, WINDOW
-from pairloom.plans.derive import CLASSES, EPOCH_STEPS, PIECES, RUN
+from pairloom.plans.derive import CLASSES, ENDINGS, EPOCH_STEPS, PIECES, RUN
 from pairloom.plans.registry import STOP_WORDS
 
 
@@ -68,6 +69,36 @@ _CTES = {
     "lemmas": """
         SELECT f.token AS form, l.token AS lemma
         FROM vocab f JOIN vocab l ON f.token = l.token || 's'""",
+    "lexicon": f"""
+        SELECT f.token AS form, f.id,
+               coalesce(arg_max(l.token, length(l.token)) FILTER (WHERE l.token IS NOT NULL), f.token) AS lemma
+        FROM vocab f CROSS JOIN (SELECT unnest([{_list(ENDINGS)}]) AS ending)
+        LEFT JOIN vocab l ON suffix(f.token, ending) AND l.token = left(f.token, length(f.token) - length(ending))
+        GROUP BY f.token, f.id""",
+    "rule_pairs": """
+        SELECT form, length(form) - common AS strip, substr(lemma, common + 1) AS added
+        FROM (SELECT form, lemma, len(list_filter(range(1, least(length(form), length(lemma)) + 1),
+                  lambda i: left(form, i) = left(lemma, i))) AS common
+              FROM lexicon WHERE id % 5 <> 0)""",
+    "best_rules": f"""
+        SELECT suffix, strip, added, n FROM (
+            SELECT right(form, k) AS suffix, strip, added, count(*) AS n
+            FROM (SELECT *, unnest(range(greatest(strip, 1), least(length(form), {LONGEST}) + 1)) AS k FROM rule_pairs)
+            GROUP BY ALL)
+        WHERE n >= {LEAST_VOTES}
+        QUALIFY row_number() OVER (PARTITION BY suffix ORDER BY n DESC, strip, added DESC) = 1""",
+    "lemma_rules": """
+        SELECT b.* FROM best_rules b LEFT JOIN best_rules p ON p.suffix = right(b.suffix, length(b.suffix) - 1)
+        WHERE p.suffix IS NULL OR p.strip <> b.strip OR p.added <> b.added""",
+    "ruled": """
+        SELECT form, lemma, coalesce(left(form, length(form) - strip) || added, form) AS guess
+        FROM (SELECT l.form, l.lemma, r.strip, r.added
+              FROM lexicon l LEFT JOIN lemma_rules r
+                  ON r.suffix = right(l.form, length(r.suffix)) AND (r.strip < length(l.form) OR r.added <> '')
+              WHERE l.id % 5 = 0
+              QUALIFY row_number() OVER (PARTITION BY l.form ORDER BY length(r.suffix) DESC NULLS LAST) = 1)""",
+    "all_lemmas": """
+        SELECT form, lemma FROM lexicon WHERE id % 5 <> 0 UNION ALL SELECT form, guess FROM ruled""",
     "vectors": """
         SELECT v.token, e.vec_id AS row, e.embedding AS vector
         FROM vocab v JOIN embeddings e ON e.vec_id = v.id - 104""",
@@ -250,6 +281,23 @@ def _looked_up(side: str, value: str, out: str, tables: str, keep: str = "TRUE")
     return _regrouped(value, out, tables, keep).replace("looked_up AS", f"side AS ({side}),\nlooked_up AS", 1)
 
 
+_RULES = f"{_VOCAB} lexicon rule_pairs best_rules lemma_rules"
+
+
+def _kept_lemmas(dropped: str) -> str:
+    """Lemmas of the tokens of each document but those like ``dropped``."""
+    kept = f"list_filter(tokens, lambda t: NOT regexp_matches(t, {_q(dropped)}))"
+    return _with(
+        f"{_RULES} ruled all_lemmas",
+        """SELECT d.doc_id, CASE WHEN d.tokens IS NOT NULL THEN coalesce(string_agg(m.lemma, ' ' ORDER BY p.pos), '') END AS lemmas
+           FROM kept d LEFT JOIN placed p ON p.doc_id = d.doc_id LEFT JOIN all_lemmas m ON m.form = p.token
+           GROUP BY d.doc_id, d.tokens""",
+        f"""kept AS (SELECT doc_id, {kept} AS tokens FROM doc_tokens),
+            placed AS (SELECT doc_id, i AS pos, tokens[i] AS token
+                FROM (SELECT doc_id, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM kept))""",
+    )
+
+
 _SHUFFLED = "row_number() OVER (ORDER BY md5({key} || ':123:0'), {key})"
 
 ORACLE: dict[str, str] = {
@@ -350,6 +398,15 @@ ORACLE: dict[str, str] = {
     "lemma_lookup": _looked_up(
         "SELECT form AS token, lemma FROM lemmas", "coalesce(lemma, token)", "lemmas", f"{_VOCAB} lemmas"
     ),
+    "lemma_rules": _with(f"{_RULES}", "SELECT suffix, strip, added, n FROM lemma_rules"),
+    "lemma_by_rule": _with(f"{_RULES} ruled", "SELECT form, guess AS lemma FROM ruled"),
+    "lemma_accuracy": _with(
+        f"{_RULES} ruled",
+        """SELECT form <> lemma AS changed, count(*) AS n, count(*) FILTER (WHERE guess = lemma) AS "right"
+           FROM ruled GROUP BY 1""",
+    ),
+    "drop_punct_lemmas": _kept_lemmas(T.PUNCT_OR_SPACE_TOKEN),
+    "drop_numbers_lemmas": _kept_lemmas(T.DIGIT_TOKEN),
     "fix_oov": _looked_up(
         "SELECT token, TRUE AS known FROM vocab",
         f"CASE WHEN known THEN token ELSE {_replaced('token')} END",

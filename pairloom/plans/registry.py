@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions import arrays as A, text as T
 from pairloom.functions.keys import SEED
-from pairloom.operators import batches as B, classes as C, lookup as L, metrics as M, model as ML, network as N, rows as R, runlog
+from pairloom.operators import batches as B, classes as C, lemmas as LM, lookup as L, metrics as M, model as ML, network as N, rows as R, runlog
 from pairloom.operators import split as S, trainer as TR, wordvectors as WV
 from pairloom.operators.encode import encode_pieces, encode_samples
 from pairloom.operators.progress import with_progress
+from pairloom.operators.sizing import join_table
 from pairloom.operators.wordpiece import distinct_words, piece_ids, word_pieces
 from pairloom.plans import derive as D, prepare as P
 from pairloom.plans.report import training_rows
@@ -203,10 +204,10 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, tokens = D.document_tokens(spark, sf_dir), F.col("tokens")
-    words = WV.known_words(docs, tokens)
-    cells = WV.information(WV.pair_counts(docs, tokens), words)
+    words, cells = WV.cooccurrence(docs, tokens)
     named = [words.select(F.col("id").alias(i), F.col("token").alias(t)) for i, t in (("i", "a"), ("j", "b"))]
-    return cells.join(named[0], "i").join(named[1], "j").select("a", "b", "n", _r("ppmi"))
+    met = join_table(join_table(cells, named[0], "i", F.col("j"), "inner"), named[1], "j", F.col("i"), "inner")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n", _r("ppmi"))
 
 
 @query
@@ -222,6 +223,38 @@ def lemma_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.lemmatize(tokens, D.lemmas(spark, sf_dir), key="doc_id").select("doc_id", _joined("lemmas"))
 
 
+@query
+def lemma_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.lemma_rules(spark, sf_dir)
+
+
+@query
+def lemma_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = D.lexicon(spark, sf_dir).where(F.col("id") % D.HELD_OUT == 0)
+    return LM.by_rules(held_out, D.lemma_rules(spark, sf_dir))
+
+
+@query
+def lemma_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = D.lexicon(spark, sf_dir).where(F.col("id") % D.HELD_OUT == 0)
+    return LM.held_out_accuracy(held_out.select("form", "lemma"), D.lemma_rules(spark, sf_dir))
+
+
+def _kept_lemmas(spark, sf_dir, keep) -> DataFrame:
+    kept = D.document_tokens(spark, sf_dir).select("doc_id", keep(F.col("tokens")).alias("tokens"))
+    return L.lemmatize(kept, D.all_lemmas(spark, sf_dir), key="doc_id").select("doc_id", _joined("lemmas"))
+
+
+@query
+def drop_punct_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_lemmas(spark, sf_dir, T.drop_punct)
+
+
+@query
+def drop_numbers_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_lemmas(spark, sf_dir, T.drop_numbers)
+
+
 @query
 def fix_oov(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = D.document_tokens(spark, sf_dir)
