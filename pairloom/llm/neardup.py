@@ -8,8 +8,8 @@ the union, and those of them in both sets are retained by both sketches. So
 2. every node puts some of its retained values into inverted lists: two sets at the
    threshold share at least ``t`` of their retained values, so they share one among
    the first ``k - t + 1`` of each in any common order. Values known to be
-   frequent come last in that order, so a passage held by thousands of documents
-   makes a list only where it is most of a document;
+   frequent come last in that order, the most frequent at its end, so a passage held by
+   thousands of documents makes a list only where it is most of a document;
 3. pairs of a list whose sizes allow the threshold are estimated on their union
    sketch, with six standard deviations of slack, and what may reach the threshold
    is confirmed on the full sets of both documents;
@@ -18,7 +18,7 @@ the union, and those of them in both sets are retained by both sketches. So
 Long lists are not turned into all their pairs. All nodes of a list are first held
 against its most typical one, which settles groups of near copies; then only nodes that are still in
 different components are compared, all of them. The place of a shared value in
-both orders bounds what two whole sets can share beyond it (Xiao et al. 2008), so
+both orders bounds what two sets or sketches can share beyond it (Xiao et al. 2008), so
 copies with many changes of their own are no candidates.
 
 For sets up to three quarters of ``k`` the value ``t`` is exact; beyond that a link is
@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pairloom.llm.common import arrow_schema, free_name, linked_classes, map_batches, raw
 from pairloom.llm.words import LOWER, Words, mixed, word_slices
@@ -49,6 +49,10 @@ SHORT = 24
 #: At most so many values count as frequent; their array is sent to every task.
 MOST_FREQUENT = 1 << 20
 LEAST_FREQUENT = 64
+#: Values of a first, coarser estimate, so that few pairs carry whole sketches
+COARSE = 64
+#: Earlier values of a node in long lists that are kept to tell that two nodes have met before
+PRECEDING = 8
 _ID_BITS = 48
 _U = np.uint64
 _STEPS = mixed(np.arange(11, 11 + SHINGLE, dtype=_U)) | _U(1)
@@ -114,10 +118,10 @@ def overlap_needed(n: int, retained: int = RETAINED, percent: int = THRESHOLD) -
     return max(1, int(p * kept - 6 * np.sqrt(kept * p * (1 - p))))
 
 
-def frequent_values(rows: DataFrame) -> np.ndarray:
-    """The retained values of most documents, sorted. Only counts that a batch of
-    sketches makes itself are summed, so a count may fall short; any set gives right
-    results, as all nodes use the same one."""
+def frequent_values(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The retained values of most documents, sorted, and their places by how many hold them, fewest
+    first. Only counts that a batch of sketches makes itself are summed, so a count may fall short;
+    any set in any order gives right results, as all nodes use the same one."""
     schema = arrow_schema("value bigint, n bigint")
 
     def count(batch):
@@ -128,29 +132,34 @@ def frequent_values(rows: DataFrame) -> np.ndarray:
     total = rows.agg(F.sum(F.octet_length("sketch") / 8)).first()[0] or 0
     least = max(LEAST_FREQUENT, int(total / MOST_FREQUENT) + 1)
     summed = map_batches(rows.select("sketch"), count, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
-    found = summed.where(F.col("n") >= least).select("value").toArrow()  # at most total / least values
-    return np.sort(found.column("value").to_numpy())
+    found = summed.where(F.col("n") >= least).toArrow()  # at most total / least values
+    values, times = (found.column(c).to_numpy() for c in ("value", "n"))
+    places = np.empty(len(values), np.int64)
+    places[np.lexsort((values, times))] = np.arange(len(values))
+    order = np.argsort(values)
+    return values[order], places[order]
 
 
-def list_entries(rows: DataFrame, often: np.ndarray, retained: int = RETAINED) -> DataFrame:
+def list_entries(rows: DataFrame, often: tuple[np.ndarray, np.ndarray], retained: int = RETAINED) -> DataFrame:
     """The inverted lists: (``value``, ``id``, ``n``, ``place``). An id starts with how untypical its
     node is, so that the smallest id of a list is its most typical node."""
     schema = arrow_schema(ENTRY)
     held = rows.sparkSession.sparkContext.broadcast(often)
 
     def change(batch):
-        common = held.value
+        common, places = held.value
         out = []
         for sketch, n, nid in zip(batch.column("sketch"), batch.column("n").to_pylist(), batch.column("nid").to_pylist()):
             values = np.frombuffer(sketch.as_buffer(), np.int64)
             if len(common):
                 at = np.minimum(np.searchsorted(common, values), len(common) - 1)
                 is_common = common[at] == values
+                often_held = values[is_common][np.argsort(places[at[is_common]])]
             else:
-                is_common = np.zeros(len(values), bool)
+                is_common, often_held = np.zeros(len(values), bool), values[:0]
             first = len(values) - overlap_needed(n, retained) + 1
             rare = values[~is_common]
-            chosen = rare[:first] if len(rare) >= first else np.r_[rare, values[is_common][: first - len(rare)]]
+            chosen = rare[:first] if len(rare) >= first else np.r_[rare, often_held[: first - len(rare)]]
             untypical = int(127 * len(rare) / max(1, len(values)))
             out.append((chosen, (untypical << (_ID_BITS + 8)) | nid, n))
         sizes = [len(c) for c, _, _ in out]
@@ -164,18 +173,23 @@ def list_entries(rows: DataFrame, often: np.ndarray, retained: int = RETAINED) -
 
 
 def _may_link(retained: int = RETAINED, percent: int = THRESHOLD):
-    """Whether the sizes of two sets, and for whole sets the places of a shared value, allow
-    the threshold: if that value is their first in common, they share at most what
-    follows it in either."""
+    """Whether the sizes of two sets and the places of a shared value allow the threshold. If that
+    value is their first in common, their sketches share at most what follows it in either.
+    Two whole sets must share ``percent / (100 + percent)`` of both sizes; otherwise the sketch that
+    ends first is a fair sample of its set, and must share that part of the larger one,
+    less seven standard deviations."""
     a, b = F.col("n_a"), F.col("n_b")
     sizes = (a * 100 >= b * percent) & (b * 100 >= a * percent)
-    whole = F.greatest(a, b) * 100 <= percent * retained
-    left = F.least(a - F.col("place_a"), b - F.col("place_b"))
-    return sizes & (~whole | (left * (100 + percent) >= (a + b) * percent))
+    whole = F.greatest(a, b) <= retained
+    held = [F.least(n, F.lit(retained)) - place for n, place in ((a, F.col("place_a")), (b, F.col("place_b")))]
+    left = F.least(*held)
+    part = (a + b) * (percent / (100 + percent)) / F.greatest(a, b)
+    sampled = left >= part * retained - 7 * F.sqrt(part * (1 - part) * retained)
+    return sizes & F.when(whole, left * (100 + percent) >= (a + b) * percent).otherwise(sampled)
 
 
-def estimated(pairs: DataFrame, briefs: DataFrame, retained: int = RETAINED, percent: int = THRESHOLD) -> DataFrame:
-    """``pairs`` (``a``, ``b``) that the union of their sketches lets pass."""
+def estimated(pairs: DataFrame, briefs: DataFrame, retained: int = RETAINED, percent: int = THRESHOLD, deviations: float = 6) -> DataFrame:
+    """``pairs`` (``a``, ``b``) that the union of their sketches, of ``retained`` values, lets pass."""
     schema = arrow_schema("a bigint, b bigint")
     p = percent / 100
 
@@ -188,7 +202,7 @@ def estimated(pairs: DataFrame, briefs: DataFrame, retained: int = RETAINED, per
             twice = np.flatnonzero(both[1:] == both[:-1])
             # a union sketch can't reach beyond the end of a full sketch
             cut = [s[-1] for s in (x, y) if len(s) >= retained]
-            end, slack = min(cut, default=both[-1]), 6 if cut else 0
+            end, slack = min(cut, default=both[-1]), deviations if cut else 0
             shared = int((both[twice] <= end).sum())
             union = int(np.searchsorted(both, end, side="right")) - shared
             passed[i] = shared >= p * union - slack * np.sqrt(union * p * (1 - p)) - 1e-9
@@ -252,7 +266,10 @@ def components(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) ->
     )
 
     def links(pairs: DataFrame) -> DataFrame:
-        passed = stored(estimated(pairs, briefs, retained), "candidates")
+        coarse = min(COARSE, retained)
+        first = briefs.select("id", F.substring("brief", 1, 8 * coarse).alias("brief"))
+        likely = stored(estimated(pairs, first, coarse, deviations=7), "likely")
+        passed = stored(estimated(likely, briefs, retained), "candidates")
         return confirmed(passed, docs, nodes)
 
     brief_lists = met.where(F.col("held") <= short)
@@ -265,15 +282,19 @@ def components(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) ->
 
     # what the first comparison of a long list has left apart
     placed = longer.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    placed = stored(placed.select("value", "id", "n", "place", "pivot", "root"), "placed")
-    home = stored(placed.where("id = pivot").select("value", F.col("root").alias("home")).distinct(), "homes")
-    apart = placed.join(home, "value").where("root <> home").select(
-        "value", *[F.col(c).alias(f"{d}_a") for c, d in (("id", "id"), ("n", "n"), ("place", "place"), ("root", "root"))]
+    # two nodes are compared at their first common value; a later one is known by a common value before it
+    earlier = Window.partitionBy("id").orderBy("place").rowsBetween(-PRECEDING, -1)
+    before = stored(placed.select("value", "id", "n", "place", "pivot", "root", F.collect_list("value").over(earlier).alias("before")), "before")
+    home = stored(before.where("id = pivot").select("value", F.col("root").alias("home")).distinct(), "homes")
+    apart = before.join(home, "value").where("root <> home").select(
+        "value", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "root", "before")]
     )
     apart = stored(apart, "apart")
     if apart.limit(1).count():
-        everyone = placed.select("value", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root")])
-        crossed = apart.join(everyone, "value").where((F.col("root_a") != F.col("root_b")) & _may_link(retained))
+        everyone = before.select("value", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root", "before")])
+        crossed = apart.join(everyone, "value").where(
+            (F.col("root_a") != F.col("root_b")) & _may_link(retained) & ~F.arrays_overlap("before_a", "before_b")
+        )
         pairs = crossed.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
         found = stored(found.union(links(pairs)), "links")
         classes = stored(linked_classes(found), "classes")
