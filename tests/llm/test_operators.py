@@ -260,7 +260,7 @@ def test_warc(spark, tmp_path):
 
 def test_scores(docs, rows, nothing):
     got = collections.defaultdict(list)
-    for r in scoring.score(docs, most_docs=20, most_bytes=60_000).collect():
+    for r in scoring.score(docs, rounds=2, shard_places=2000).collect():
         got[r["doc_id"]].append(r)
     held = {r[0]: zlib.crc32(str(r[0]).encode()) % 5 == 1 for r in rows}
     counts = collections.Counter(w for r in rows if not held[r[0]] for w in [x.lower() for x in words(r[1])] + [None])
@@ -281,18 +281,95 @@ def test_attention_gradient():
     model = scoring.Attention.start(np.zeros(1, np.int64), np.zeros(1), np.ones(scoring.CLASSES**2))
     model.w = {k: v.astype(np.float64) for k, v in model.w.items()}
     inputs, slots = draw.integers(0, 50, 64), draw.integers(0, 50, 64)
-    text, scored = np.repeat([0, 1], 32), np.ones(64, bool)
-    _, g = model.gradient(inputs, slots, text, scored)
+    begins, places = np.array([True, False, True, False]), np.arange(64)
+    _, g = model.gradient(inputs, begins, places, slots)
     for name in ("query", "key", "value", "own", "seen", "far", "embed", "member"):
         at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
         was, losses = model.w[name][at], []
         for step in (1e-5, -1e-5):
             model.w[name][at] = was + step
-            losses.append(model.gradient(inputs, slots, text, scored)[0])
+            losses.append(model.gradient(inputs, begins, places, slots)[0])
         model.w[name][at] = was
         assert g[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-5, rel=1e-3, abs=1e-5)
 
 
+def token_by_token(model, targets):
+    """The log10 probability of a text, its subwords and an end one after the other."""
+    w = {k: v.astype(np.float64) for k, v in model.w.items()}
+    slots = [int(model.slot[t]) for t in targets] + [scoring.END]
+    x, total = [], 0.0
+    for i, slot in enumerate(slots):
+        x.append(w["embed"][slots[i - 1] if i else scoring.END])
+        low = max(0, i // scoring.BLOCK - 1) * scoring.BLOCK
+        weights = np.exp([x[i] @ w["query"] @ (x[j] @ w["key"]) / math.sqrt(scoring.KEYS) + w["far"][scoring.BLOCK + i % scoring.BLOCK - (j - (i // scoring.BLOCK - 1) * scoring.BLOCK)] for j in range(low, i + 1)])
+        seen = (weights / weights.sum()) @ np.array([x[j] @ w["value"] for j in range(low, i + 1)])
+        h = np.tanh(x[i] @ w["own"] + seen @ w["seen"] + w["bias"])
+        c, m = divmod(slot, scoring.CLASSES)
+        for logits, k in ((h @ w["cls"] + w["cls_bias"], c), (h @ w["member"][c] + w["member_bias"][c], m)):
+            total += logits[k] - math.log(np.exp(logits).sum())
+        total += model.other[targets[i]] if slot == scoring.OTHER else 0.0
+    return total / math.log(10)
+
+
+def test_scores_equal_a_token_by_token_pass(rows):
+    splitter = scoring.Splitter(scoring.read_ranks())
+    data = [(r[1] or "").encode() for r in rows] + [b"", b"one", b"a b c d e f g h i j k l m n o p q r s t u v w x y z"]
+
+    def stream(texts, slot):
+        (_, _, found), = word_slices(pa.array(texts, pa.binary()), limit=1 << 30)
+        ids, sizes = splitter.split(found, found.hashes(scoring.LOWER))
+        return ids, sizes, found, scoring.Stream.of(ids, sizes, found.first, slot)
+
+    ids, _, _, _ = stream(data, np.zeros(1 << 17, np.int64))
+    model = scoring.first_model(np.bincount(ids[::2], minlength=1 << 17), len(data))
+    ids, sizes, found, whole = stream(data, model.slot)
+    before = model.log10(whole).sum()
+    learner = scoring.Learner(model, 1e-2)
+    for _ in range(3):
+        learner.learn(whole, batch=7)
+    model = learner.model
+    assert model.log10(whole).sum() > before
+    together = np.bincount(whole.text, model.log10(whole), minlength=len(data))
+    backwards = stream(data[::-1], model.slot)[3]
+    turned = np.bincount(backwards.text, model.log10(backwards), minlength=len(data))[::-1]
+    edges = np.r_[0, np.cumsum(sizes)][found.first]
+    for i in range(len(data)):
+        alone = model.log10(stream([data[i]], model.slot)[3]).sum()
+        expected = token_by_token(model, ids[edges[i] : edges[i + 1]])
+        assert together[i] == pytest.approx(expected, rel=1e-4) and alone == pytest.approx(expected, rel=1e-4)
+        assert alone == pytest.approx(together[i], rel=1e-5) and turned[i] == pytest.approx(together[i], rel=1e-5)
+
+
+def test_scores_do_not_depend_on_the_layout(spark, rows):
+    data = [(r[0], r[1]) for r in rows]
+    random.Random(3).shuffle(data)
+    one, other = (
+        sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in scoring.score(spark.createDataFrame(x, "doc_id long, text string").repartition(n), rounds=2, shard_places=1500).collect())
+        for x, n in ((data, 1), (data[::-1], 7))
+    )
+    assert [x[:2] for x in one] == [x[:2] for x in other]
+    assert [x[2] for x in one] == pytest.approx([x[2] for x in other], rel=1e-4)
+
+
+def test_scoring_learns_from_every_training_document(spark):
+    draw = random.Random(12)
+    known = ["".join(draw.choice("abcdefgh") for _ in range(3)) for _ in range(40)]
+    follow = {w: known[(i * 7 + 3) % 40] for i, w in enumerate(known)}  # each word has one that follows
+
+    def chain():
+        out = [draw.choice(known)]
+        while len(out) < 80:
+            out.append(follow[out[-1]])
+        return " ".join(out)
+
+    data = [(i, chain()) for i in range(400)]
+    got = scoring.score(spark.createDataFrame(data, "doc_id long, text string"), rounds=3, shard_places=12_000, batch=16)
+    held = [r for r in got.collect() if r["held_out"]]
+    assert len(held) > 40
+    score, base = (sum(r[c] for r in held) for c in ("score", "base_score"))
+    assert score > 0.7 * base  # which a unigram model can't reach
+
+
 def test_quality(spark, docs, rows, labels, nothing):
     got = quality.classify(docs, labels, most_docs=15).collect()
     assert len(got) == len(rows)
