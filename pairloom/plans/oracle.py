@@ -311,6 +311,7 @@ ORACLE: dict[str, str] = {
         SELECT 'labels' AS stem, count(*) AS n_rows, count(doc_id) AS n_docs, NULL::BIGINT AS order_keys FROM labels
         UNION ALL SELECT 'lineitem', count(*), 0, sum(l_orderkey)::BIGINT FROM lineitem""",
     "write_splits": _with(f"{_PAIRS} split", "SELECT * FROM split"),
+    "write_splits_sized": _with(f"{_PAIRS} split", "SELECT * FROM split"),
     "materialize_once": _with(
         f"{_PAIRS} split",
         """SELECT pair_id, '[CLS] ' || substr(question1, 1, 150) || ' [SEP] ' || substr(question2, 1, 150)
@@ -450,6 +451,7 @@ ORACLE: dict[str, str] = {
                   ceil(count(*) / 20)::BIGINT // 100 AS n_reports FROM complete""",
     ),
     "progress": "SELECT count(*) AS processed, count(*) // 100000 AS units FROM documents",
+    "running_progress": "SELECT count(*) AS processed, count(*) // 100000 AS units FROM documents",
     "build_vocab": _with(_VOCAB, "SELECT token, id, n FROM vocab"),
     "step_loss": _with(
         "train_log reports",

@@ -9,7 +9,7 @@ from pairloom.functions.keys import SEED
 from pairloom.operators import batches as B, classes as C, lemmas as LM, lookup as L, metrics as M, model as ML, network as N, rows as R, runlog
 from pairloom.operators import split as S, trainer as TR, wordvectors as WV
 from pairloom.operators.encode import encode_pieces, encode_samples
-from pairloom.operators.progress import with_progress
+from pairloom.operators.progress import counted_stream, running_counts, with_progress
 from pairloom.operators.sizing import join_table
 from pairloom.operators.wordpiece import distinct_words, piece_ids, word_pieces
 from pairloom.plans import derive as D, prepare as P
@@ -80,6 +80,13 @@ def write_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("pair_id", "question1", "question2", "is_duplicate", "split")
 
 
+@query
+def write_splits_sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "splits-sized")
+    writers.write_splits_sized(P.split_pairs(D.pairs(spark, sf_dir)), path)
+    return spark.read.parquet(path).select("pair_id", "question1", "question2", "is_duplicate", "split")
+
+
 @query
 def materialize_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "prepared")
@@ -318,6 +325,18 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(told.get["processed"], told.get["units"])], "processed bigint, units bigint")
 
 
+@query
+def running_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of the cleaning of all documents, told while it runs; the last is the total."""
+    schema = _documents(spark, sf_dir).schema
+    source = f"{sf_dir.rstrip('/')}/{{documents.parquet}}"  # a pattern, as a stream takes a single file by pattern only
+    texts = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(source)
+    cleaned = counted_stream(texts).select("doc_id", T.replace_punct(T.lower_text(F.col("text"))).alias("text"))
+    run = cleaned.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "progress")).trigger(availableNow=True).start()
+    *_, total = running_counts(run)
+    return spark.createDataFrame([total], "processed bigint, units bigint")
+
+
 @query
 def build_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.build_corpus_vocab(spark, sf_dir)

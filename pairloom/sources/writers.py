@@ -24,6 +24,23 @@ def write_splits(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
     writer.format(fmt).save(path)
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def write_splits_sized(df: DataFrame, path: str, target_bytes: int = 128 << 20, fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """As ``write_splits``, with files of about ``target_bytes`` (as shuffled) instead of one for each task and
+    split: rows are brought together by split once, small remainders share a task, and a split
+    of any size is cut into as many tasks as it fills. Splits whose names hash to one shuffle partition
+    are cut together, so each of them may get a file from every such task."""
+    conf = df.sparkSession.conf
+    before = conf.get(ADVISORY, None)
+    conf.set(ADVISORY, str(target_bytes))
+    try:
+        write_splits(df.hint("rebalance", "split"), path, fmt, mode)
+    finally:
+        conf.unset(ADVISORY) if before is None else conf.set(ADVISORY, before)
+
+
 def materialize_once(
     spark: SparkSession,
     path: str,
