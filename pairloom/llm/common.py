@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import pathlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
@@ -64,6 +68,19 @@ def map_rows(docs: DataFrame, change: Callable[[pa.RecordBatch], Iterator[pa.Rec
     return map_batches(docs, change, docs.schema)
 
 
+@functools.cache
+def one_matrix_thread() -> None:
+    """Matrix products of this worker in one thread, as the tasks beside it have the other cores: threads that
+    wait for each other on small matrices burn as much time as they save. Without the OpenBLAS that comes
+    with numpy nothing is changed."""
+    for path in pathlib.Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     """The Arrow schema of a DDL string of plain types."""
     kinds = {
