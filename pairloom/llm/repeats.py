@@ -219,12 +219,12 @@ def covered(one: DataFrame, plan: Plan, compare: Callable, ordered: bool) -> Dat
 
     near = small.select(*names).repartition("run").sortWithinPartitions("run").mapInArrow(lambda b: _by_group(b, group), SPAN)
 
-    # anchors with many fragments: each stretch is a key of its own, with the anchor, as
-    # one that holds two anchors comes from both
+    # anchors with many fragments: each stretch is a key of its own, with the anchor and its place in
+    # the stretch, as one that holds two anchors, or one anchor twice, comes from both
     big = stored(one.join(sizes.where(F.col("n") > GROUP).select("run"), "run").select(*names), "hot")
     if not big.limit(1).count():
         return near
-    window = "stretch bigint, run bigint, text_key bigint, doc_id bigint, copies bigint, low bigint"
+    window = "stretch bigint, at bigint, run bigint, text_key bigint, doc_id bigint, copies bigint, low bigint"
     opened = arrow_schema(window)
 
     def stretches(batch):
@@ -235,18 +235,18 @@ def covered(one: DataFrame, plan: Plan, compare: Callable, ordered: bool) -> Dat
             row, o = np.nonzero((start[:, None] <= hashes[1]) & (hashes[1] + plan.length <= end[:, None]))
             place = part.column("place").to_numpy() - plan.reach
             yield pa.RecordBatch.from_arrays([
-                pa.array(hashes[0][row, o].view(np.int64)), *[pa.array(part.column(c).to_numpy(zero_copy_only=False)[row]) for c in ("run", "text_key", "doc_id", "copies")],
+                pa.array(hashes[0][row, o].view(np.int64)), pa.array(o), *[pa.array(part.column(c).to_numpy(zero_copy_only=False)[row]) for c in ("run", "text_key", "doc_id", "copies")],
                 pa.array(place[row] + hashes[1][o]),
             ], schema=opened)
 
     every = map_batches(big, stretches, window)
     if ordered:
         rank = F.min(F.struct("doc_id", "low", "text_key")).alias("first")
-        first = stored(every.groupBy("run", "stretch").agg(rank), "stretches")
-        again = every.join(first, ["run", "stretch"]).where(F.struct("doc_id", "low", "text_key") != F.col("first"))
+        first = stored(every.groupBy("run", "stretch", "at").agg(rank), "stretches")
+        again = every.join(first, ["run", "stretch", "at"]).where(F.struct("doc_id", "low", "text_key") != F.col("first"))
     else:
-        copies = stored(every.groupBy("run", "stretch").agg(F.sum("copies").alias("n")).where("n > 1"), "stretches")
-        again = every.join(copies, ["run", "stretch"])
+        copies = stored(every.groupBy("run", "stretch", "at").agg(F.sum("copies").alias("n")).where("n > 1"), "stretches")
+        again = every.join(copies, ["run", "stretch", "at"])
     # neighbouring stretches of a text are one span before they are shuffled on
     far = again.select("text_key", F.floor(F.col("low") / plan.length).alias("cell"), "low").groupBy("text_key", "cell").agg(F.sort_array(F.collect_set("low")).alias("lows"))
     spans = far.select("text_key", F.explode("lows").alias("low")).select("text_key", "low", (F.col("low") + plan.length).alias("high"))
