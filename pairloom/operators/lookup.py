@@ -4,27 +4,41 @@ Tables are stored DataFrames with one row per token (see ``session.stored``);
 their measured size decides how they are met:
 
 - a small one becomes a constant of the plan: a narrow projection;
-- a larger one is broadcast or, beyond that, joined by salted shuffle. Rows are
-  partitioned by their unique id, tokenized, exploded and regrouped there, so
-  whole texts move once and the regrouping moves nothing.
+- one up to ``EXPLODE_BYTES`` that holds no lists is broadcast to the exploded tokens;
+- a larger one is met by blocks: rows are dealt by their unique id to blocks of about
+  ``BLOCK_TOKENS`` tokens, the different tokens of a block are joined with the table, and what
+  they find goes back to the block, where every list looks its tokens up. What is joined
+  is a row per block and token, never one per place of a token, and lists stay whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from pairloom.functions import arrays as A, text as T
 from pairloom.operators.sizing import (
     BROADCAST_BYTES,
     LITERAL_BYTES,
-    SALTS,
     join_table,
     literal_lookup,
     measure,
     require_unique,
 )
+from pairloom.session import stored
+
+
+#: The largest table that is broadcast to exploded tokens: the tokens regrouped there must fit a task
+EXPLODE_BYTES = 16 * 1024 * 1024
+#: Tokens of a block, whose different ones and what they find a task holds
+BLOCK_TOKENS = 1 << 20
+#: Bytes of the hits of lists that are given out at a time
+SLICE_BYTES = 4 << 20
 
 
 def map_tokens(
@@ -37,27 +51,60 @@ def map_tokens(
     keep: list[str] = (),
     literal_bytes: int = LITERAL_BYTES,
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int = 1,
+    block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """Replace each token by ``value(token, hit)``, where ``hit`` is an expression
     over the columns of ``table`` for that token, null where the table lacks it.
 
     ``tokens`` maps output column -> token list. The result has ``key``, the
-    ``keep`` columns (small ones: in a join they travel with each token) and the
-    outputs, in token order; an empty list stays empty, a null list null.
+    ``keep`` columns and the outputs, in token order; an empty list stays empty, a null
+    list null.
 
     Tokens of the table and keys of ``df`` must be unique, whatever the size of either:
-    both are checked before the way is chosen, and a repeat is an error.
+    both are checked before the way is chosen, and a repeat is an error. A block holds a
+    token once, so that no token is hot in the join and ``salts`` is rarely needed.
     """
     size = measure(table, "token")
     if size["different"] < size["rows"]:
         require_unique(table, "token")
-    require_unique(df, key)
     found = literal_lookup(table, "token", hit, literal_bytes, size)
     if found is not None:
+        require_unique(df, key)
         return df.select(
             key, *keep, *[F.transform(c, lambda t: value(t, found(t))).alias(o) for o, c in tokens.items()]
         )
+    outputs, hits = list(tokens), table.select("token", hit.alias("_hit"))
+    kind = hits.schema["_hit"].dataType
+    if size["bytes"] <= min(max_bytes, EXPLODE_BYTES) and not isinstance(kind, ArrayType):
+        require_unique(df, key)
+        return _exploded(df, tokens, hits, value, key, keep)
+    lists = [f"_list{side}" for side in range(len(outputs))]
+    # stored, as it is read three times and finding the tokens of a text costs most
+    listed = stored(df.select(key, *keep, *[c.alias(n) for n, c in zip(lists, tokens.values())]), "token-lists")
+    blocks = -(-_tokens_of_unique(listed, key, lists) // block_tokens) or 1
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("_block")
+    narrow = listed.select(block, *lists).repartition(blocks, "_block")
+    every = F.flatten(F.array(*[F.coalesce(n, F.array().cast("array<string>")) for n in lists]))
+    each = narrow.select("_block", F.explode_outer(every).alias("token")).where("token is not null").distinct()
+    met = join_table(each, hits.where("_hit is not null"), "token", F.col("_block"), "inner", max_bytes, salts, size)
+    rows = listed.select(block, F.lit(True).alias("_is_row"), "*").unionByName(
+        met.select("_block", F.lit(False).alias("_is_row"), "token", "_hit"), allowMissingColumns=True
+    )
+    together = rows.repartition(blocks, "_block").sortWithinPartitions("_block", "_is_row")
+    fields = [listed.schema[c] for c in (key, *keep, *lists)]
+    schema = StructType([StructField(f.name, f.dataType) for f in fields] + [StructField(f"_hits{n}", ArrayType(kind)) for n in lists])
+    looked_up = together.mapInArrow(_hits_of_lists([key, *keep], lists), schema)
+    return looked_up.select(
+        key, *keep, *[F.zip_with(n, f"_hits{n}", value).alias(o) for n, o in zip(lists, outputs)]
+    )
+
+
+def _exploded(
+    df: DataFrame, tokens: dict[str, Column], hits: DataFrame, value: Callable[[Column, Column], Column], key: str, keep: list[str]
+) -> DataFrame:
+    """``map_tokens`` by exploding the lists of rows partitioned by their key, and regrouping them there, so that
+    whole texts move once and the regrouping moves nothing."""
     outputs = list(tokens)
     one_side = df.repartition(key).select(
         key, *keep, F.posexplode_outer(F.array(*tokens.values())).alias("side", "_tokens")
@@ -68,8 +115,7 @@ def map_tokens(
     exploded = flagged.select(
         key, *keep, "side", "_missing", F.posexplode_outer("_tokens").alias("pos", "token")
     ).withColumn("pos", F.when(F.col("_missing"), -1).otherwise(F.col("pos"))).drop("_missing")
-    hits = table.select("token", hit.alias("_hit"))
-    joined = join_table(exploded, hits, "token", F.struct(key, "pos"), "left", max_bytes, salts, size)
+    joined = exploded.join(F.broadcast(hits), "token", "left")
     changed = joined.withColumn("_value", value(F.col("token"), F.col("_hit")))
     grouped = changed.groupBy(key, *keep).agg(*[
         F.sort_array(
@@ -90,6 +136,68 @@ def map_tokens(
     )
 
 
+def _tokens_of_unique(listed: DataFrame, key: str, lists: list[str]) -> int:
+    """The number of tokens of all ``lists``; an error if two rows have one ``key``."""
+    size = sum((F.coalesce(F.greatest(F.size(n), F.lit(0)), F.lit(0)) for n in lists), F.lit(0)).cast("bigint")
+    rows = listed.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("tokens"))
+    found = rows.agg(F.sum("tokens"), F.max("n"), F.max_by(F.struct(key), "n")).first()
+    if (found[1] or 0) > 1:
+        raise ValueError(f"{key} {found[2][0]!r} is not unique")
+    return found[0] or 0
+
+
+def _hits_of_lists(names: list[str], lists: list[str]):
+    """From rows in order of block, first the hits of its tokens, then its lists: the lists with the hit of each token."""
+
+    def work(batches):
+        block, parts, held = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("_block").to_numpy()
+            for low, high in _runs(ids):
+                if ids[low] != block:
+                    block, parts, held = ids[low], [], None
+                of_block = batch.slice(low, high - low)
+                first = int(np.searchsorted(of_block.column("_is_row").to_numpy(zero_copy_only=False), True))
+                if first:
+                    parts.append(of_block.slice(0, first).select(["token", "_hit"]))
+                if first < high - low:
+                    held = held or _joined_hits(parts, batch.schema)
+                    yield from _with_hits(of_block.slice(first), names, lists, *held)
+
+    return work
+
+
+def _runs(ids: np.ndarray):
+    begin = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return zip(begin.tolist(), np.append(begin[1:], len(ids)).tolist())
+
+
+def _joined_hits(parts: list[pa.RecordBatch], schema: pa.Schema) -> tuple[pa.Array, pa.Array]:
+    if not parts:
+        return tuple(pa.array([], schema.field(n).type) for n in ("token", "_hit"))
+    return tuple(pa.concat_arrays([p.column(n) for p in parts]) for n in ("token", "_hit"))
+
+
+def _with_hits(rows: pa.RecordBatch, names: list[str], lists: list[str], tokens: pa.Array, hits: pa.Array):
+    columns = [rows.column(n) for n in lists]
+    sizes = [pc.fill_null(pc.list_value_length(c), 0).to_numpy().astype(np.int64) for c in columns]
+    edges = [np.r_[0, np.cumsum(s)] for s in sizes]
+    places = [pc.index_in(c.flatten(), value_set=tokens) for c in columns]
+    room = max(1, SLICE_BYTES // (16 + hits.nbytes // max(1, len(hits))))
+    low, total = 0, sum(edges)
+    while low < rows.num_rows:
+        high = max(low + 1, int(np.searchsorted(total, total[low] + room, side="right")) - 1)
+        out = [rows.column(n).slice(low, high - low) for n in (*names, *lists)]
+        for column, edge, place in zip(columns, edges, places):
+            values = hits.take(place.slice(edge[low], edge[high] - edge[low]))
+            offsets = pa.array((edge[low : high + 1] - edge[low]).astype(np.int32))
+            out.append(pa.ListArray.from_arrays(offsets, values, mask=column.slice(low, high - low).is_null()))
+        yield pa.RecordBatch.from_arrays(out, names=[*names, *lists, *[f"_hits{n}" for n in lists]])
+        low = high
+
+
 def _special_or(token: Column, otherwise: Column, cls: Column, sep: Column) -> Column:
     return F.when(token == T.CLS, cls).when(token == T.SEP, sep).otherwise(otherwise)
 
