@@ -95,8 +95,9 @@ def gradient(params, slots, edges, labels, mask=None) -> tuple[np.ndarray, np.nd
     error /= len(labels)
     back = error @ w2.T
     back = (back if mask is None else back * mask) * (1 - hidden**2)
-    to_vectors = np.zeros_like(vectors)
-    np.add.at(to_vectors, slots, (back @ w1.T / np.maximum(sizes, 1)[:, None])[of])
+    # counts with weights add in the order of the slots, as np.add.at does, and take a fraction of its time
+    by_row = back @ w1.T / np.maximum(sizes, 1)[:, None]
+    to_vectors = np.stack([np.bincount(slots, w[of], len(vectors)) for w in by_row.T], axis=1)
     parts = [to_vectors, pooled.T @ back, back.sum(axis=0), passed.T @ error, error.sum(axis=0)]
     return logits, losses_of(logits, labels), np.concatenate([p.ravel() for p in parts])
 
