@@ -23,9 +23,12 @@ LEAST = 2
 
 
 def _common_length(a: Column, b: Column) -> Column:
-    """How many characters two texts begin with in common."""
-    places = F.sequence(F.lit(0), F.least(F.length(a), F.length(b)))
-    return F.size(F.filter(places, lambda i: F.left(a, i) == F.left(b, i))) - 1
+    """How many characters two texts begin with in common. Where neither begins with the other, their characters
+    are compared once each; a word as long as a text costs no more than reading it."""
+    both = F.least(F.length(a), F.length(b))
+    one, other = (F.split(F.left(x, both), "") for x in (a, b))
+    first = F.array_position(F.zip_with(one, other, lambda x, y: x == y), False) - 1
+    return F.when(F.startswith(a, b), F.length(b)).when(F.startswith(b, a), F.length(a)).otherwise(first).cast("int")
 
 
 def _endings(form: Column, least: Column, longest: int) -> Column:

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import time
 
 import pytest
 
@@ -83,3 +84,16 @@ def test_nothing_to_learn(spark):
         assert rules.count() == 0
         forms = spark.createDataFrame([("words",), ("",), (None,)], "form string")
         assert {tuple(r) for r in LM.by_rules(forms, rules).collect()} == {("words", "words"), ("", ""), (None, None)}
+
+
+def test_common_beginnings(spark):
+    draw = random.Random(6)
+    some = [("", ""), ("a", ""), ("", "a"), ("é", "é"), ("𝒳é", "𝒳e"), ("ab", "abc"), ("abd", "abc"), ("xa", "ya")]
+    some += [("".join(draw.choice("aé𝒳") for _ in range(draw.randint(0, 5))), "".join(draw.choice("aé𝒳") for _ in range(draw.randint(0, 5)))) for _ in range(200)]
+    some += [(x, y) for word in ("é" * 300_000,) for x, y in ((word, word), (word + "s", word), (word + "s", word + "t"))]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(some)], "id int, " + PAIRS)
+    began = time.monotonic()
+    got = dict(rows.select("id", LM._common_length(rows.form, rows.lemma)).collect())
+    assert time.monotonic() - began < 60  # compared once, not once for each of its beginnings
+    for i, (x, y) in enumerate(some):
+        assert got[i] == next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
