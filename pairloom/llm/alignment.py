@@ -68,15 +68,26 @@ class Side:
     """The bytes of each token id, and how many."""
 
     def __init__(self, entries: dict[int, bytes]):
-        self.entries = entries
         self.lengths = np.zeros(max(entries) + 1, np.int64)
         for i, value in entries.items():
             self.lengths[i] = len(value)
+        self.table = pa.array([entries.get(i, b"") for i in range(len(self.lengths))], pa.binary())
         if 0 in {len(v) for v in entries.values()}:
             raise ValueError("a token without bytes")
 
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.entries.__getitem__, ids))
+    def gives(self, ids: list[list[int]], wanted: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each text are its ``wanted`` bytes; all texts are compared at once, and one by
+        one only if they differ."""
+        edges = np.r_[0, np.cumsum(np.array([len(x) for x in ids], np.int64))]
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, edges[-1])
+        upto = np.r_[0, np.cumsum(self.lengths[flat])][edges]
+        whole = np.diff(upto) == np.array([len(x) for x in wanted], np.int64)
+        joined = self.table.take(pa.array(flat)).buffers()[2] if upto[-1] else pa.py_buffer(b"")
+        if whole.all() and joined.slice(0, upto[-1]).equals(pa.py_buffer(b"".join(wanted))):
+            return whole
+        for i in np.flatnonzero(whole):
+            whole[i] = joined.slice(upto[i], upto[i + 1] - upto[i]).equals(pa.py_buffer(wanted[i]))
+        return whole
 
 
 class Tokenizers:
@@ -123,12 +134,12 @@ class Tokenizers:
         coded_b = self.b.encode(flat, num_threads=1)
         out_a, out_b, at = [], [], 0
         for text, parts in zip(texts, cut):
-            a, b = ([i for ids in coded[at : at + len(parts)] for i in ids] if len(parts) > 1 else coded[at] for coded in (coded_a, coded_b))
+            for coded, out in ((coded_a, out_a), (coded_b, out_b)):
+                out.append(([i for ids in coded[at : at + len(parts)] for i in ids] if len(parts) > 1 else coded[at]) if text else [])
             at += len(parts)
-            want = b" " + text.encode()
-            whole = text and self.side_a.joined(a) == want and self.side_b.joined(b) == want
-            out_a.append(a if whole else [])
-            out_b.append(b if whole else [])
+        wanted = [b" " + t.encode() if t else b"" for t in texts]
+        for i in np.flatnonzero(~(self.side_a.gives(out_a, wanted) & self.side_b.gives(out_b, wanted))):
+            out_a[i], out_b[i] = [], []
         return out_a, out_b
 
 
@@ -141,14 +152,14 @@ def farthest(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """(places of A's tokens, places of B's, pointers) on the line of all tokens, which is in order of
     their ends, B after A. The ends of each side rise, and both sides end together."""
     n = len(end_a) + len(end_b)
-    place_a = np.arange(len(end_a)) + np.searchsorted(end_b, end_a, side="left")
-    place_b = np.arange(len(end_b)) + np.searchsorted(end_a, end_b, side="right")
-    pointer = np.empty(n, np.int64)
     # the other side's token with a token's last byte is the first that ends there or later
-    pointer[place_a] = place_b[np.searchsorted(end_b, end_a, side="left")]
-    other = np.searchsorted(end_a, end_b, side="left")
-    together = end_a[other] == end_b
-    pointer[place_b] = np.where(together, place_b, place_a[other])
+    to_b, to_a = np.searchsorted(end_b, end_a), np.searchsorted(end_a, end_b)
+    together = end_a[to_a] == end_b
+    place_a = np.arange(len(end_a)) + to_b
+    place_b = np.arange(len(end_b)) + to_a + together
+    pointer = np.empty(n, np.int64)
+    pointer[place_a] = place_b[to_b]
+    pointer[place_b] = np.where(together, place_b, place_a[to_a])
     return place_a, place_b, pointer
 
 

@@ -108,3 +108,14 @@ def test_pointers_lead_to_the_end_of_each_group():
 
 def test_empty_table(spark):
     assert alignment.align(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_texts_are_compared_with_their_tokens_at_once():
+    side = alignment.Side({1: b"ab", 2: b"c", 4: b"\xff"})
+    wanted = [b"abc", b"", b"abc", b"cab", b"c", b"ab"]
+    assert side.gives([[1, 2], [], [2, 1], [2, 1], [4], [3]], wanted).tolist() == [True, True, False, True, False, False]
+    assert side.gives([[1, 2], [], [2, 1]], [b"abc", b"", b"cab"]).tolist() == [True] * 3
+    assert side.gives([], []).tolist() == [] and side.gives([[]], [b""]).tolist() == [True]
+    tools = alignment.tokenizers(alignment.FOLDER)
+    a, b = tools.encode(["", "one two", "a▁b", "é𝒳"])
+    assert [bool(x) for x in a] == [bool(x) for x in b] == [False, True, False, True]
