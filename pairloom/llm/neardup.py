@@ -17,9 +17,10 @@ the union, and those of them in both sets are retained by both sketches. So
 
 Long lists are not turned into all their pairs. All nodes of a list are first held
 against its most typical one, which settles groups of near copies; then only nodes that are still in
-different components are compared, all of them. The place of a shared value in
-both orders bounds what two sets or sketches can share beyond it (Xiao et al. 2008), so
-copies with many changes of their own are no candidates.
+different components are compared, all of them, each pair at its first common value. The place of
+a shared value in both orders bounds what two sets or sketches can share beyond it (Xiao et al.
+2008), so copies with many changes of their own are no candidates. All deviations are those of
+a draw without replacement: a sketch of 256 of 400 values says more than one of 256 of a million.
 
 For sets up to three quarters of ``k`` the value ``t`` is exact; beyond that a link is
 missed with a chance of about 1e-9. Shingles are compared by 63-bit hashes.
@@ -37,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pairloom.llm.common import arrow_schema, free_name, linked_classes, map_batches, raw
+from pairloom.llm.common import arrow_schema, few_broadcast, free_name, linked_classes, map_batches, raw
 from pairloom.llm.words import LOWER, Words, mixed, word_slices
 from pairloom.session import stored
 
@@ -51,8 +52,6 @@ MOST_FREQUENT = 1 << 20
 LEAST_FREQUENT = 64
 #: Values of a first, coarser estimate, so that few pairs carry whole sketches
 COARSE = 64
-#: Earlier values of a node in long lists that are kept to tell that two nodes have met before
-PRECEDING = 8
 _ID_BITS = 48
 _U = np.uint64
 _STEPS = mixed(np.arange(11, 11 + SHINGLE, dtype=_U)) | _U(1)
@@ -111,11 +110,18 @@ def text_key():
 def overlap_needed(n: int, retained: int = RETAINED, percent: int = THRESHOLD) -> int:
     """The least number of retained values that a set of ``n`` shares with any other at
     the threshold."""
+    whole = -(-percent * n // 100)
     if 100 * n <= percent * retained:
-        return -(-percent * n // 100)
-    p, kept = percent / 100, min(n, retained)
-    # the sample may be as small as this sketch and at most as large as k
-    return max(1, int(p * kept - 6 * np.sqrt(kept * p * (1 - p))))
+        return whole
+    p = percent / 100
+    # a sketch that is cut makes a sample of k of the union, which holds n / p values at most
+    sampled = max(1, int(p * retained - 6 * deviation(p, retained, n / p)))
+    return min(sampled, whole) if n <= retained else sampled
+
+
+def deviation(p: float, drawn: int, of: float) -> float:
+    """The standard deviation of the hits in a draw without replacement."""
+    return float(np.sqrt(p * (1 - p) * drawn * max(0, of - drawn) / max(1, of - 1)))
 
 
 def frequent_values(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -177,24 +183,38 @@ def _may_link(retained: int = RETAINED, percent: int = THRESHOLD):
     value is their first in common, their sketches share at most what follows it in either.
     Two whole sets must share ``percent / (100 + percent)`` of both sizes; otherwise the sketch that
     ends first is a fair sample of its set, and must share that part of the larger one,
-    less seven standard deviations."""
+    less seven standard deviations of a draw without replacement."""
     a, b = F.col("n_a"), F.col("n_b")
     sizes = (a * 100 >= b * percent) & (b * 100 >= a * percent)
     whole = F.greatest(a, b) <= retained
     held = [F.least(n, F.lit(retained)) - place for n, place in ((a, F.col("place_a")), (b, F.col("place_b")))]
     left = F.least(*held)
-    part = (a + b) * (percent / (100 + percent)) / F.greatest(a, b)
-    sampled = left >= part * retained - 7 * F.sqrt(part * (1 - part) * retained)
+    larger = F.greatest(a, b)
+    part = (a + b) * (percent / (100 + percent)) / larger
+    sampled = left >= part * retained - 7 * F.sqrt(part * (1 - part) * retained * (larger - retained) / (larger - 1))
     return sizes & F.when(whole, left * (100 + percent) >= (a + b) * percent).otherwise(sampled)
 
 
-def estimated(pairs: DataFrame, briefs: DataFrame, retained: int = RETAINED, percent: int = THRESHOLD, deviations: float = 6) -> DataFrame:
-    """``pairs`` (``a``, ``b``) that the union of their sketches, of ``retained`` values, lets pass."""
+def ids_of(pairs: DataFrame) -> DataFrame:
+    """(``id``, ``nid``) of the nodes of ``pairs``, stored."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    return stored(ids.withColumn("nid", _number()), "wanted")
+
+
+def _number():
+    return F.col("id").bitwiseAND(F.lit((1 << _ID_BITS) - 1))
+
+
+def estimated(pairs: DataFrame, whole: DataFrame, retained: int = RETAINED, percent: int = THRESHOLD, deviations: float = 6) -> DataFrame:
+    """``pairs`` (``a``, ``b``) that the union of their sketches lets pass, of which ``retained`` values are looked at;
+    ``whole`` has ``nid``, ``n`` and ``sketch`` of each node."""
     schema = arrow_schema("a bigint, b bigint")
     p = percent / 100
 
     def change(batch):
         a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+        # the largest union two sets of these sizes have at the threshold
+        most = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()) / (1 + p)
         passed = np.zeros(len(a), bool)
         for i, (x, y) in enumerate(zip(batch.column("sketch_a"), batch.column("sketch_b"))):
             x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
@@ -205,20 +225,21 @@ def estimated(pairs: DataFrame, briefs: DataFrame, retained: int = RETAINED, per
             end, slack = min(cut, default=both[-1]), deviations if cut else 0
             shared = int((both[twice] <= end).sum())
             union = int(np.searchsorted(both, end, side="right")) - shared
-            passed[i] = shared >= p * union - slack * np.sqrt(union * p * (1 - p)) - 1e-9
+            passed[i] = shared >= p * union - slack * deviation(p, union, most[i]) - 1e-9
         yield pa.RecordBatch.from_arrays([pa.array(a[passed]), pa.array(b[passed])], schema=schema)
 
-    one = briefs.select(F.col("id").alias("a"), F.col("brief").alias("sketch_a"))
-    other = briefs.select(F.col("id").alias("b"), F.col("brief").alias("sketch_b"))
-    return map_batches(pairs.join(one, "a").join(other, "b").select("a", "b", "sketch_a", "sketch_b"), change, "a bigint, b bigint")
+    briefs = whole.join(few_broadcast(ids_of(pairs)), "nid").select("id", "n", F.substring("sketch", 1, 8 * retained).alias("brief"))
+    one, other = (briefs.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("brief").alias(f"sketch_{x}")) for x in "ab")
+    met = pairs.join(one, "a").join(other, "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    return map_batches(met, change, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int = THRESHOLD) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     """``pairs`` whose full sets reach the threshold. Sets are made anew from the
     text of one document per node."""
     schema_text = "id bigint, members array<bigint>"
     schema = arrow_schema(schema_text)
-    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(nodes, "id").select("id", "text_key"), "wanted")
+    wanted = stored(ids_of(pairs).join(reps, "nid").select("id", "text_key"), "keys")
 
     def sets(batch):
         ids = batch.column("id")
@@ -229,7 +250,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int
             yield pa.RecordBatch.from_arrays([ids.slice(low, high - low), members], schema=schema)
 
     # copies of one text meet here; one of them is enough
-    texts = docs.select(text_key(), raw()).join(wanted, "text_key").groupBy("id").agg(F.min("raw").alias("raw"))
+    texts = docs.select(text_key(), raw()).join(few_broadcast(wanted), "text_key").groupBy("id").agg(F.min("raw").alias("raw"))
     full = stored(map_batches(texts.select("id", "raw"), sets, schema_text), "sets")
     one = full.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
     other = full.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
@@ -240,37 +261,46 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int
     ).select("a", "b")
 
 
+def crossed(placed: DataFrame, retained: int = RETAINED) -> DataFrame | None:
+    """Pairs (``a``, ``b``) of nodes of one list that lie in different components, each once; none if no list has two.
+    ``placed``: (``value``, ``id``, ``n``, ``place``, ``pivot``, ``root``) of the nodes of long lists. Two nodes are
+    compared at their first common value: a later one is known by a common value before it."""
+    columns = ("id", "n", "place", "root", "before")
+    earlier = Window.partitionBy("id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    before = stored(placed.select("value", "id", "n", "place", "pivot", "root", F.collect_list("value").over(earlier).alias("before")), "before")
+    home = stored(before.where("id = pivot").select("value", F.col("root").alias("home")).distinct(), "homes")
+    apart = before.join(home, "value").where("root <> home").select("value", "home", *[F.col(c).alias(f"{c}_a") for c in columns])
+    apart = stored(apart, "apart")
+    if not apart.limit(1).count():
+        return None
+    everyone = before.select("value", *[F.col(c).alias(f"{c}_b") for c in columns])
+    met = apart.join(everyone, "value").where(
+        (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("home")) | (F.col("id_a") < F.col("id_b")))
+        & _may_link(retained) & ~F.arrays_overlap("before_a", "before_b")
+    )
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+
+
 def components(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) -> tuple[DataFrame, DataFrame]:
     """(``doc_id``, ``n``, ``node``, ``text_key`` of each document, ``node``, ``nid``, ``least`` id and ``root`` of
     each different set); sets of one root are a component, one without a root is its own."""
-    rows = stored(sketches(docs, retained), "sketches")
-    number = F.shiftleft(F.shiftright("m", 33), 24).bitwiseOR(F.col("m").bitwiseAND(F.lit((1 << 24) - 1)))
-    reps = stored(
-        rows.where("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key"), F.min("doc_id").alias("least"))
-        .withColumn("m", F.monotonically_increasing_id()).withColumn("nid", number.cast("bigint")).drop("m"), "nodes",
-    )
-    often = frequent_values(rows)
-    whole = rows.where("n > 0").join(reps.select("nid", "node", F.col("text_key")), ["node", "text_key"]).select("nid", "n", "sketch")
-    entries = stored(list_entries(whole, often, retained), "entries")
-    lists = stored(
-        entries.groupBy("value").agg(F.count(F.lit(1)).alias("held"), F.min("id").alias("pivot"), F.max("id").alias("last"))
-        .where("pivot < last").drop("last"), "lists",
-    )
-    met = stored(entries.join(lists, "value"), "met")
-    low = F.col("id").bitwiseAND(F.lit((1 << _ID_BITS) - 1)).alias("nid")
-    ids = met.select("id", low).distinct()
-    nodes = stored(ids.join(reps, "nid").select("id", "nid", "text_key", "node"), "listed")
-    briefs = stored(
-        rows.select("node", "text_key", F.col("sketch").alias("brief")).join(nodes, ["node", "text_key"])
-        .groupBy("id").agg(F.min("brief").alias("brief")), "briefs",
-    )
+    rows = stored(sketches(docs, retained).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    number = F.shiftleft(F.shiftright("row", 33), 24).bitwiseOR(F.col("row").bitwiseAND(F.lit((1 << 24) - 1))).cast("bigint").alias("nid")
+    given = rows.where("n > 0")
+    # a node is the first of the rows of its set; the others are told apart, so that no sketch is shuffled
+    reps = given.groupBy("node").agg(F.min("text_key").alias("text_key"), F.min("doc_id").alias("least"), F.min("row").alias("row"))
+    reps = stored(reps.select("node", "text_key", "least", "row", number), "nodes")
+    copies = stored(given.select("row").join(reps.select("row"), "row", "left_anti"), "copies")
+    whole = given.join(few_broadcast(copies), "row", "left_anti").select(number, "n", "sketch")
+    lists = Window.partitionBy("value")
+    entries = list_entries(whole, frequent_values(rows), retained)
+    met = entries.withColumn("held", F.count(F.lit(1)).over(lists)).withColumn("pivot", F.min("id").over(lists))
+    met = stored(met.where("held > 1"), "met")
 
     def links(pairs: DataFrame) -> DataFrame:
-        coarse = min(COARSE, retained)
-        first = briefs.select("id", F.substring("brief", 1, 8 * coarse).alias("brief"))
-        likely = stored(estimated(pairs, first, coarse, deviations=7), "likely")
-        passed = stored(estimated(likely, briefs, retained), "candidates")
-        return confirmed(passed, docs, nodes)
+        likely = stored(estimated(stored(pairs, "pairs"), whole, min(COARSE, retained), deviations=7), "likely")
+        passed = stored(estimated(likely, whole, retained), "candidates")
+        return confirmed(passed, docs, reps)
 
     brief_lists = met.where(F.col("held") <= short)
     left, right = (brief_lists.select("value", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "place")]) for side in "ab")
@@ -282,20 +312,8 @@ def components(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) ->
 
     # what the first comparison of a long list has left apart
     placed = longer.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    # two nodes are compared at their first common value; a later one is known by a common value before it
-    earlier = Window.partitionBy("id").orderBy("place").rowsBetween(-PRECEDING, -1)
-    before = stored(placed.select("value", "id", "n", "place", "pivot", "root", F.collect_list("value").over(earlier).alias("before")), "before")
-    home = stored(before.where("id = pivot").select("value", F.col("root").alias("home")).distinct(), "homes")
-    apart = before.join(home, "value").where("root <> home").select(
-        "value", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "root", "before")]
-    )
-    apart = stored(apart, "apart")
-    if apart.limit(1).count():
-        everyone = before.select("value", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "root", "before")])
-        crossed = apart.join(everyone, "value").where(
-            (F.col("root_a") != F.col("root_b")) & _may_link(retained) & ~F.arrays_overlap("before_a", "before_b")
-        )
-        pairs = crossed.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    pairs = crossed(placed, retained)
+    if pairs is not None:
         found = stored(found.union(links(pairs)), "links")
         classes = stored(linked_classes(found), "classes")
 
@@ -329,8 +347,15 @@ def one_of_each(docs: DataFrame, retained: int = RETAINED, short: int = SHORT) -
     # an id and a text key are one group's: wordless rows have keys no group has
     chosen = first.select("first.doc_id", "first.text_key").union(rows.where("node is null").select("doc_id", "text_key").distinct())
     own, key, held = (free_name(docs.columns, c) for c in ("_own_key", "_text_key", "_held"))
-    chosen = stored(chosen.select(F.col("doc_id").alias(held), F.col("text_key").alias(key)), "chosen")
-    met = docs.withColumn(own, text_key()).join(
-        chosen, (F.col(own) == F.col(key)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(held))
-    )
-    return met.dropDuplicates([held, key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    given = rows.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    chosen = chosen.withColumn("kept", F.lit(True))
+    same = F.col("g.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("g.text_key") == F.col("c.text_key"))
+    # rows that stay as they are go by without a shuffle: told apart are rows that leave and those that are there several times
+    told = given.alias("g").join(chosen.alias("c"), same, "left").where("kept is null or times > 1")
+    told = stored(told.select(F.col("g.doc_id").alias(held), F.col("g.text_key").alias(key), "kept"), "told")
+    at = (F.col(own) == F.col(key)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(held))
+    keyed = docs.withColumn(own, text_key())
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = keyed.join(few_broadcast(told), at, "left_anti").select(*columns)
+    several = keyed.join(few_broadcast(told.where("kept")), at).dropDuplicates([held, key]).select(*columns)
+    return once.union(several)

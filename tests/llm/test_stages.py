@@ -76,3 +76,54 @@ def test_rows_keep_columns_of_any_name(spark, rows):
     clean = decontaminate.clean_rows(docs, items)
     assert clean.columns == docs.columns
     assert rows[4][1] not in {r["text"] for r in clean.collect()}
+
+
+@pytest.mark.parametrize("most", [0, 4_000_000])  # keys that are shuffled, and keys that are broadcast
+def test_one_row_of_each_group_however_its_rows_are_met(spark, monkeypatch, most):
+    from pairloom.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+    text = "one two three four five six seven"
+    rows = [(1, text, "a"), (1, text, "b"), (1, text, "b"), (2, text, "c"), (None, text, "d"), (3, " ", "e"), (3, " ", "f"), (None, None, "g"), (4, "alone here", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held string").repartition(3)
+    got = neardup.one_of_each(docs).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(1, text), (3, " "), (None, None), (4, "alone here")], key=str)
+
+
+def test_sketches_of_one_set_are_filed_once(spark, monkeypatch):
+    """Copies of a text used to fill inverted lists, each with all its values."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words)) for i in range(40)] + [(40, " ".join([*words[:-1], "other"]))]
+    sizes, stored = {}, neardup.stored
+
+    def told(df, name="table"):
+        out = stored(df, name)
+        sizes.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stored", told)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in got} == {0}
+    assert sizes["met"] <= 2 * 56
+
+
+def test_two_nodes_of_many_long_lists_are_compared_once(spark):
+    shared = [(1000 + i, nid, 40, i, 7, nid) for i in range(7) for nid in (7, 8, 9)]
+    entries = shared + [(2000 + i, nid, 40, 7 + i, 8, nid) for i in range(10) for nid in (8, 9)]
+    placed = spark.createDataFrame(entries, "value long, id long, n long, place long, pivot long, root long")
+    assert sorted(tuple(r) for r in neardup.crossed(placed).collect()) == [(7, 8), (7, 9), (8, 9)]
+
+
+def test_least_overlap_is_that_of_a_draw_without_replacement():
+    import numpy as np
+
+    assert neardup.overlap_needed(200) == 150  # 113 as if drawn with replacement, of so many lists was a node a member
+    draw = np.random.default_rng(5)
+    for n in (193, 230, 256, 300, 396, 700):
+        for grown in (1.0, 1.15, 4 / 3):
+            m = int(n * grown)
+            both = -(-3 * (n + m) // 7)  # the least intersection at the threshold
+            for _ in range(60):
+                values = draw.permutation(n + m - both)
+                one, other = np.sort(values[:n])[:256], np.sort(values[n - both :])[:256]
+                assert len(np.intersect1d(one, other)) >= max(neardup.overlap_needed(n), neardup.overlap_needed(m))
