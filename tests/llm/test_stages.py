@@ -127,3 +127,21 @@ def test_least_overlap_is_that_of_a_draw_without_replacement():
                 values = draw.permutation(n + m - both)
                 one, other = np.sort(values[:n])[:256], np.sort(values[n - both :])[:256]
                 assert len(np.intersect1d(one, other)) >= max(neardup.overlap_needed(n), neardup.overlap_needed(m))
+
+
+def test_a_task_hands_freed_memory_back():
+    import subprocess
+    import sys
+
+    code = """
+import numpy as np, pyarrow as pa
+from pairloom.llm import common
+held = lambda: int(open('/proc/self/statm').read().split()[1]) >> 8
+parts = [np.sort(np.frombuffer(np.random.bytes(8 * (25_000 + 400 * i)), np.int64)) for i in range(600)]
+kept = parts[::40]
+del parts
+was = held()
+common.give_back_memory()
+print(was - held())
+"""
+    assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) > 50  # MB
