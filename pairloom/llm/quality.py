@@ -13,9 +13,10 @@ to shards by b; a frequent b is split by a into as many shards as its share of t
 A context (a, b) is then whole in one shard, and the counts of (b, c), summed up first, are sent to
 each shard of b. Tasks count the trigrams of a few megabytes of text, sort them and send each shard
 its stretch, packed (``gram_blobs``). For training, shards add up what they get. For scoring,
-each shard gets its part of the model and, by stretch of text, the distinct trigrams
-of each document, and sends back one sum per document; the sums of a
-stretch of text are added up. Only the words seen twice or more, each with its chance, are sent to every
+each shard gets, by stretch of text, the distinct trigrams of each document, and sends back one sum per document; the
+sums of a stretch of text are added up. The documents trained on are scored too and come first in their stretch, so
+a shard has the trigrams of its part of the model among those it is asked for: they are neither
+stored nor sent once more. Only the words seen twice or more, each with its chance, are sent to every
 task: 12 bytes a word, which grow much slower than the text.
 
 A document's perplexity is taken per distinct trigram: the log
@@ -44,7 +45,7 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.common import WORD, arrow_schema, free_name, map_batches, raw
+from pairloom.llm.common import WORD, arrow_schema, few_broadcast, free_name, give_back_memory, lean, map_batches, raw
 from pairloom.llm.neardup import text_key
 from pairloom.llm.words import Words, mixed, word_slices
 from pairloom.session import stored
@@ -62,7 +63,7 @@ BEGIN, END, UNKNOWN = (mixed(np.array([x], _U))[0] for x in (101, 102, 103))
 #: Text bytes whose trigrams a task sorts and packs at once, and those a shard holds trigrams of
 STRETCH = 8 << 20
 SHARD = 16 << 20
-#: What a packed row holds: trigrams asked for, those of the model, its bigrams, keys of texts, counts of counts, unigrams
+#: What a packed row holds: trigrams asked for, those trained on, bigrams of the model, keys of texts, counts of counts, unigrams
 ASKED, TRIGRAMS, BIGRAMS, TEXTS, COUNTS, UNIGRAMS = range(6)
 #: Rows of ids or keys up to this number are broadcast; beyond it texts are shuffled to meet them.
 BROADCAST_ROWS = 4_000_000
@@ -214,6 +215,43 @@ def _unpacked(blob: bytes, width: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(p.T).view("<i4").reshape(-1) for p in planes]
 
 
+def packed_counts(keys: np.ndarray, n: np.ndarray, shift: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed keys and counts) of sorted 64-bit keys; a bucket is what ``shift`` leaves of a key."""
+    bucket = keys >> _U(shift)
+    starts = _runs(bucket)
+    for low, high in zip(starts, np.r_[starts[1:], len(keys)]):
+        steps = np.diff(keys[low:high], prepend=_U(0)).view("<i4").reshape(-1, 2)
+        yield int(bucket[low]), _packed(steps[:, 0], steps[:, 1], n[low:high])
+
+
+def added_counts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of several packed blobs, each key once."""
+    parts = []
+    for blob in blobs:
+        low, high, n = _unpacked(blob, 3)
+        parts.append((np.cumsum(np.stack([low, high], axis=1).view(_U).reshape(-1), dtype=_U), n))
+    keys, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order].astype(np.int64)
+    starts = _runs(keys)
+    return keys[starts], np.add.reduceat(n, starts)
+
+
+def counted_by_bucket(packed: DataFrame) -> DataFrame:
+    """(``h``, ``n``): the sum of each key of packed (``bucket``, ``blob``)."""
+
+    def add(table):
+        keys, n = added_counts(table.column("blob").to_pylist())
+        return pa.table({"h": keys.view(np.int64), "n": n})
+
+    return packed.groupBy("bucket").applyInArrow(lean(add), "h bigint, n bigint")
+
+
+def _buckets(found: Iterator[tuple[int, bytes]]) -> pa.RecordBatch:
+    bucket, blob = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(blob, pa.binary())], names=["bucket", "blob"])
+
+
 def _steps(values: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     """Each value less the one before it, but whole where ``fresh``."""
     return np.where(fresh, values, values - np.r_[0, values[:-1]])
@@ -244,7 +282,11 @@ def _in_order(a: np.ndarray, b: np.ndarray, c: np.ndarray, n_words: int) -> np.n
     bits = max(1, n_words.bit_length())
     if 3 * bits > 63:
         return np.lexsort((c, a, b))
-    return np.argsort((b << (2 * bits)) | (a << bits) | c, kind="stable")
+    key = b.astype(np.int64)
+    for x in (a, c):
+        key <<= bits
+        key |= x
+    return np.argsort(key, kind="stable")
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -284,8 +326,11 @@ class Layout:
         return (mixed(self.words[b]) % _U(self.shards)).astype(np.int64)
 
     def shard(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        part = mixed(self.words[a] + _U(1)) % self.parts(b).astype(_U)
-        return (self.home(b) + part.astype(np.int64)) % self.shards
+        shard, parts = self.home(b), self.parts(b)
+        at = np.flatnonzero(parts > 1)
+        part = mixed(self.words[a[at]] + _U(1)) % parts[at].astype(_U)
+        shard[at] = (shard[at] + part.astype(np.int64)) % self.shards
+        return shard
 
 
 def _rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
@@ -298,20 +343,38 @@ def gram_blobs(layout: Layout, a: np.ndarray, b: np.ndarray, c: np.ndarray, text
     order = _in_order(a, b, c, len(layout.words))
     a, b, c, text = a[order], b[order], c[order], text[order]
     starts = _runs(a, b, c, text)
-    n = np.diff(np.r_[starts, len(a)])
+    n = np.diff(np.r_[starts, len(a)]).astype(np.int32)
     a, b, c, text = a[starts], b[starts], c[starts], text[starts]
     shard = layout.shard(a, b)
-    order = np.argsort(shard.astype(np.uint16) if layout.shards <= 1 << 16 else shard, kind="stable")
+    shard = shard.astype(np.uint16) if layout.shards <= 1 << 16 else shard
+    order = np.argsort(shard, kind="stable")
     edges = np.searchsorted(shard[order], np.arange(layout.shards + 1))
     for i in np.flatnonzero(np.diff(edges)):
         at = order[edges[i] : edges[i + 1]]
         yield int(i), pack_grams(a[at], b[at], c[at], text[at], n[at])
 
 
+def marked_blob(blob: bytes, trained: int) -> bytes:
+    """Packed trigrams of a stretch whose first ``trained`` texts are trained on."""
+    return trained.to_bytes(4, "little") + blob
+
+
+def trained_grams(blob: bytes) -> tuple[np.ndarray, ...]:
+    """(a, b, c, count) of the trigrams of texts that are trained on."""
+    a, b, c, text, n = unpack_grams(blob[4:])
+    own = text < int.from_bytes(blob[:4], "little")
+    return a[own], b[own], c[own], n[own]
+
+
 def _added(blobs: list[bytes], n_words: int) -> tuple[np.ndarray, ...]:
     """(a, b, c, count) of the trigrams of several blobs, whatever their texts, in order."""
     parts = [unpack_grams(x) for x in blobs]
-    a, b, c, n = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (0, 1, 2, 4))
+    return _merged([(*p[:3], p[4]) for p in parts], n_words)
+
+
+def _merged(parts: list[tuple[np.ndarray, ...]], n_words: int) -> tuple[np.ndarray, ...]:
+    """(a, b, c, count) of several parts as one, in order."""
+    a, b, c, n = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(4))
     order = _in_order(a, b, c, n_words)
     a, b, c, n = a[order], b[order], c[order], n[order]
     starts = _runs(a, b, c)
@@ -324,8 +387,9 @@ def _count_counts(n: np.ndarray) -> bytes:
 
 @dataclass
 class Fitted:
-    """A fitted model: what all tasks get, and the stored n-grams of each shard."""
+    """A fitted model: what all tasks get, the documents trained on, and the stored bigrams of each shard."""
 
+    sample: DataFrame
     layout: Broadcast
     uni: Broadcast
     rest: float
@@ -333,7 +397,6 @@ class Fitted:
     d2: list[float]
     d3: list[float]
     bigrams: DataFrame
-    trigrams: DataFrame
 
 
 def _discounts_of(packed: DataFrame) -> list[float]:
@@ -346,6 +409,8 @@ def fit(docs: DataFrame, sample: DataFrame) -> Fitted:
     spark = docs.sparkSession
     plain = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     size = plain.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    shards = int(max(8, size // SHARD))
+    bits = (max(8, shards // 8) - 1).bit_length()
     few = sample.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     texts = plain.join(F.broadcast(sample) if few else sample, "doc_id", "left_semi").select(raw())
     if not few:  # texts that were shuffled are not shuffled again
@@ -362,12 +427,14 @@ def fit(docs: DataFrame, sample: DataFrame) -> Fitted:
                     held, room = [], 0
         if held:
             yield counted(held)
+        del held
+        give_back_memory()
 
     def counted(held):
         h, n = np.unique(np.concatenate([x for pair in held for x in pair]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+        return _buckets(packed_counts(h, n, 64 - bits))
 
-    seen = stored(texts.mapInArrow(words_of, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")), "seen")
+    seen = stored(counted_by_bucket(texts.mapInArrow(words_of, "bucket bigint, blob binary")), "seen")
     end = F.col("h") == int(np.array([END]).view(np.int64)[0])
     found = seen.where((F.col("n") >= KNOWN_FROM) & ~end).toArrow()
     rare = seen.where((F.col("n") < KNOWN_FROM) & ~end).count()
@@ -376,22 +443,23 @@ def fit(docs: DataFrame, sample: DataFrame) -> Fitted:
     times = np.r_[found.column("n").to_numpy(), [n_texts, n_texts, rare]]
     order = np.lexsort((hashes, -times))
     hashes, times = hashes[order], times[order]
-    shards = max(8, size // SHARD)
     parts = np.minimum(1 + times * shards // max(1, times.sum()), shards)
     hot, sorted_places = np.flatnonzero(parts > 1), np.argsort(hashes)
     layout = spark.sparkContext.broadcast(
-        Layout(hashes, hashes[sorted_places], sorted_places.astype(np.int32), hot, parts[hot], int(shards))
+        Layout(hashes, hashes[sorted_places], sorted_places.astype(np.int32), hot, parts[hot], shards)
     )
 
     def grams(batches):
         held = layout.value
         for _, columns in _stretches(batches, held):
             yield _rows([(TRIGRAMS, shard, 0, blob) for shard, blob in gram_blobs(held, *columns[:3], np.zeros_like(columns[3]))])
+            del columns
+        give_back_memory()
 
     def trigrams_of(table):
         held, shard = layout.value, table.column("shard")[0].as_py()
         a, b, c, n = _added(table.column("blob").to_pylist(), len(held.words))
-        rows = [(TRIGRAMS, shard, 0, pack_grams(a, b, c, np.zeros_like(a), n)), (COUNTS, shard, 0, _count_counts(n))]
+        rows = [(COUNTS, shard, 0, _count_counts(n))]
         order = np.lexsort((c, b))
         b, c = b[order], c[order]
         starts = _runs(b, c)
@@ -414,48 +482,59 @@ def fit(docs: DataFrame, sample: DataFrame) -> Fitted:
         return pa.Table.from_batches([_rows(rows)])
 
     def unigrams_of(batch):
+        wide = max(0, len(layout.value.words).bit_length() - bits)
         for blob in batch.column("blob").to_pylist():
             words, times = _unpacked(blob, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(times.astype(np.int64))], names=["c", "n"])
+            if len(words):
+                yield _buckets(packed_counts(words.astype(_U), times, wide))
 
     of = lambda packed, kind: packed.where(F.col("kind") == kind)
-    tri = stored(texts.mapInArrow(grams, PACKED).groupBy("shard").applyInArrow(trigrams_of, PACKED), "trigrams")
-    bi = stored(of(tri, BIGRAMS).groupBy("shard").applyInArrow(bigrams_of, PACKED), "bigrams")
-    uni = map_batches(of(bi, UNIGRAMS).select("blob"), unigrams_of, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n")).toArrow()
-    c, n = (uni.column(x).to_numpy() for x in ("c", "n"))
+    tri = stored(texts.mapInArrow(grams, PACKED).groupBy("shard").applyInArrow(lean(trigrams_of), PACKED), "trigrams")
+    bi = stored(of(tri, BIGRAMS).groupBy("shard").applyInArrow(lean(bigrams_of), PACKED), "bigrams")
+    uni = counted_by_bucket(map_batches(of(bi, UNIGRAMS).select("blob"), unigrams_of, "bucket bigint, blob binary")).toArrow()
+    c, n = (uni.column(x).to_numpy() for x in ("h", "n"))
     d1 = discounts({i: int((n == i).sum()) for i in range(1, 5)})
     off, total = _off(n, d1), float(n.sum() or 1)
     chances = np.zeros(len(hashes), np.float32)
     chances[c] = (n - off) / total
     rest = (float(off.sum()) or 1.0) / total / (max(1, len(c)) + 1)
     return Fitted(
-        layout, spark.sparkContext.broadcast(chances[sorted_places]), rest, 1.0 / max(1, rare), _discounts_of(bi), _discounts_of(tri), of(bi, BIGRAMS), of(tri, TRIGRAMS)
+        sample, layout, spark.sparkContext.broadcast(chances[sorted_places]), rest, 1.0 / max(1, rare), _discounts_of(bi), _discounts_of(tri), of(bi, BIGRAMS)
     )
 
 
 def _stretches(batches, layout: Layout) -> Iterator[tuple[tuple, list[np.ndarray]]]:
-    """((text keys, numbers of tokens and of distinct trigrams), (a, b, c, text)) of the texts with words, for each
-    ``STRETCH`` bytes of text; words are numbers in ``layout``."""
+    """((whether trained on, text keys, numbers of tokens and of distinct trigrams), (a, b, c, text)) of the texts with words,
+    for each ``STRETCH`` bytes of text; words are numbers in ``layout``, and texts that are trained on come first."""
     about, grams, n_texts, n_bytes = [], [], 0, 0
     begin, end = layout.numbers(np.array([BEGIN, END]))
 
     def done():
-        return tuple(np.concatenate(x) for x in zip(*about)), [np.concatenate(x).astype(np.int64) for x in zip(*grams)]
+        columns = [np.concatenate(x) for x in zip(*grams)]
+        facts = [np.concatenate(x) for x in zip(*about)]
+        order = np.argsort(~facts[0], kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        return tuple(x[order] for x in facts), [*columns[:3], number[columns[3]]]
 
     for batch in batches:
-        keys = batch.column("text_key").to_numpy() if "text_key" in batch.schema.names else np.zeros(batch.num_rows, np.int64)
+        known = "text_key" in batch.schema.names
+        keys = batch.column("text_key").to_numpy() if known else np.zeros(batch.num_rows, np.int64)
+        trained = batch.column("trained").to_numpy(zero_copy_only=False) if known else np.ones(batch.num_rows, bool)
         for low, high, words in word_slices(batch.column("raw")):
             hashes, counts = words.hashes(), words.counts()
             has = counts > 0
             if not has.any():
                 continue
             *columns, of = framed(counts[has], layout.numbers(hashes), begin, end)
-            about.append((keys[low:high][has], counts[has] + 1, distinct_trigrams(words, hashes)[has]))
+            about.append((trained[low:high][has], keys[low:high][has], counts[has] + 1, distinct_trigrams(words, hashes)[has]))
             grams.append((*columns, (of + n_texts).astype(np.int32)))
             n_texts, n_bytes = n_texts + int(has.sum()), n_bytes + len(words.data)
             if n_bytes >= STRETCH:
-                yield done()
+                found = done()
                 about, grams, n_texts, n_bytes = [], [], 0, 0
+                yield found
+                del found
     if grams:
         yield done()
 
@@ -470,17 +549,38 @@ def distinct_trigrams(words: Words, hashes: np.ndarray) -> np.ndarray:
     return np.bincount(of[np.r_[True, (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])]], minlength=len(counts))
 
 
-def scores(docs: DataFrame, model: Fitted) -> DataFrame:
-    """``SCORE`` of each different text with words."""
+def asked_texts(docs: DataFrame, model: Fitted, keys: DataFrame) -> DataFrame:
+    """(``text_key``, ``raw``, ``trained``) of the rows trained on, and of one row of each other text. ``keys``: ``doc_id`` and
+    ``text_key`` of all rows, stored. Where the copied texts are too many to be broadcast, each row is there."""
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(), raw())
+    chosen = few_broadcast(model.sample.distinct().withColumn("trained", F.lit(True)))
+    trained = F.coalesce("trained", F.lit(False))
+    flagged = plain.join(chosen, "doc_id", "left").withColumn("trained", trained)
+    met = keys.select("doc_id", "text_key").join(chosen, "doc_id", "left").groupBy("text_key")
+    counted = met.agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"), F.max(trained).alias("any_trained"))
+    copied = stored(counted.where("copies > 1"), "copied-texts")
+    if copied.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        one = F.col("copies").isNull() | (~F.col("any_trained") & F.col("doc_id").eqNullSafe(F.col("first")))
+        flagged = flagged.join(F.broadcast(copied), "text_key", "left").where(F.col("trained") | one)
+    return flagged.select("text_key", "raw", "trained")
+
+
+def scores(docs: DataFrame, model: Fitted, keys: DataFrame | None = None) -> DataFrame:
+    """``SCORE`` of each different text with words of ``docs``, the table that the model was fitted on; ``keys`` as for
+    ``asked_texts``."""
+    if keys is None:
+        keys = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key()), "keys")
     layout, uni, rest, spelling, d2, d3 = model.layout, model.uni, model.rest, model.spelling, model.d2, model.d3
 
     def ask(batches):
         held, part = layout.value, TaskContext.get().partitionId()
         for i, (about, columns) in enumerate(_stretches(batches, held)):
-            stretch = (part << 32) | i
-            texts = b"".join(x.astype(np.int64).tobytes() for x in about)
-            rows = [(ASKED, shard, stretch, blob) for shard, blob in gram_blobs(held, *columns)]
+            stretch, trained = (part << 32) | i, int(about[0].sum())
+            texts = b"".join(x.astype(np.int64).tobytes() for x in about[1:])
+            rows = [(ASKED, shard, stretch, marked_blob(blob, trained)) for shard, blob in gram_blobs(held, *columns)]
             yield _rows([(TEXTS, stretch % held.shards, stretch, texts), *rows])
+            del about, columns, rows, texts
+        give_back_memory()
 
     def answer(table):
         held = layout.value
@@ -490,14 +590,14 @@ def scores(docs: DataFrame, model: Fitted) -> DataFrame:
         _, b, c, n = _added(part(BIGRAMS), len(words))
         share2, at2, weight2 = _shares(b, n, d2)
         bi, bi_context = _table(pair_key(words[b], words[c]), share2), _table(words[b[at2]], weight2)
-        a, b, c, n = _added(part(TRIGRAMS), len(words))
+        a, b, c, n = _merged([trained_grams(x) for x in part(ASKED)], len(words))
         share3, at3, weight3 = _shares(pair_key(words[a], words[b]), n, d3)
         tri, tri_context = _table(triple_key(words[a], words[b], words[c]), share3), _table(pair_key(words[a[at3]], words[b[at3]]), weight3)
         shard_model = Model(held.in_order, uni.value, rest, spelling, bi, bi_context, tri, tri_context)
         rows = [(k, 0, s, x) for k, s, x in zip(kinds, stretches, blobs) if k == TEXTS]
         for kind, stretch, blob in zip(kinds, stretches, blobs):
             if kind == ASKED:
-                a, b, c, text, n = unpack_grams(blob)
+                a, b, c, text, n = unpack_grams(blob[4:])
                 starts = _runs(a, b, c)
                 p = np.log(shard_model.chances(*(words[x[starts]] for x in (a, b, c))))
                 sums = np.bincount(text, np.repeat(p, np.diff(np.r_[starts, len(a)])) * n)
@@ -515,9 +615,8 @@ def scores(docs: DataFrame, model: Fitted) -> DataFrame:
                 total[np.cumsum(own)] += np.ascontiguousarray(sums).view("<f4")
         return pa.table([pa.array(x) for x in (keys, n_tokens, n_distinct, total)], schema=arrow_schema(SCORE))
 
-    asked = docs.select(text_key(), raw()).mapInArrow(ask, PACKED)
-    met = asked.union(model.bigrams).union(model.trigrams)
-    summed = met.groupBy("shard").applyInArrow(answer, PACKED).groupBy("stretch").applyInArrow(added, SCORE)
+    met = asked_texts(docs, model, keys).mapInArrow(ask, PACKED).union(model.bigrams)
+    summed = met.groupBy("shard").applyInArrow(lean(answer), PACKED).groupBy("stretch").applyInArrow(added, SCORE)
     # sums of copies may differ by their rounding
     return summed.groupBy("text_key").agg(*[F.max(c).alias(c) for c in ("n_tokens", "n_distinct", "log_prob")])
 
@@ -539,9 +638,10 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
     if most_docs is not None:
         sample = training_sample(plain, sample, most_docs)
     model = fit(plain, sample)
-    texts = stored(scores(plain, model), "text-scores")
+    keys = stored(plain.select("doc_id", "lang", text_key()), "keys")
+    texts = stored(scores(plain, model, keys), "text-scores")
     perplexity = F.when(F.col("n_tokens") > 1, F.exp(-F.col("log_prob") / F.col("n_distinct"))).alias("perplexity")
-    met = plain.select("doc_id", "lang", text_key()).join(texts, "text_key", "left")
+    met = keys.join(texts, "text_key", "left")
     scored = stored(met.select("doc_id", "lang", "text_key", F.coalesce("n_tokens", F.lit(1).cast("bigint")).alias("n_tokens"), perplexity), "scored")
     fresh = scored.where("perplexity is not null").join(trusted, "doc_id").join(sample, "doc_id", "left_anti")
     cut = F.percentile_approx("perplexity", quantile, 100_000).alias("threshold")

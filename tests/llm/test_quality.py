@@ -81,3 +81,54 @@ def test_packed_grams():
         given = [x[:size] for x in (a, b, c, text, n)]
         got = quality.unpack_grams(quality.pack_grams(*given))
         assert all(x.tolist() == y.tolist() for x, y in zip(got, given))
+
+
+def test_model_trigrams_are_not_sent_again(spark):
+    """Shards take the trigrams of the model from the texts they are asked for: no stored table holds them."""
+    rows = [(i, " ".join(f"w{(i * k) % 7}" for k in range(1, 9)), "en") for i in range(60)]
+    table = spark.createDataFrame(rows, DOCS).repartition(3)
+    sample = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
+    model = quality.fit(table, sample)
+    assert not hasattr(model, "trigrams")
+    assert {r["kind"] for r in model.bigrams.select("kind").distinct().collect()} == {quality.BIGRAMS}
+    want = by_hand([t for i, t, _ in rows if i % 2 == 0], [t for _, t, _ in rows])
+    got = {r["doc_id"]: r["log_prob"] for r in table.select("doc_id", quality.text_key()).join(quality.scores(table, model), "text_key").collect()}
+    assert got == {i: pytest.approx(x, rel=1e-5) for (i, _, _), x in zip(rows, want)}
+
+
+def test_texts_trained_on_come_first_in_their_stretch():
+    np, pa = quality.np, quality.pa
+    hashes = np.sort(np.r_[quality.BEGIN, quality.END, quality.UNKNOWN])
+    layout = quality.Layout(hashes, hashes, np.arange(3, dtype=np.int32), np.zeros(0, int), np.zeros(0, int), 4)
+    batch = pa.record_batch({"raw": [b"a b c", b"d", b"", b"e f"], "text_key": [1, 2, 3, 4], "trained": [False, True, True, False]})
+    ((trained, keys, n_tokens, _), (*_, text)), = quality._stretches([batch], layout)
+    assert (trained.tolist(), keys.tolist(), n_tokens.tolist()) == ([True, False, False], [2, 1, 4], [2, 4, 3])
+    assert text.tolist() == [1] * 4 + [0] * 2 + [2] * 3
+    blobs = [quality.marked_blob(x, 1) for _, x in quality.gram_blobs(layout, *_, text)]
+    assert sum(int(quality.trained_grams(x)[3].sum()) for x in blobs) == 2
+
+
+def test_packed_counts():
+    np = quality.np
+    draw = random.Random(23)
+    given = [{draw.randrange(1 << 64): draw.randint(1, 90) for _ in range(200)} | {7: 1, (1 << 64) - 1: 2} for _ in range(3)]
+    want, got = sum(map(collections.Counter, given), collections.Counter()), {}
+    blobs = collections.defaultdict(list)
+    for part in given:
+        keys = np.array(sorted(part), np.uint64)
+        for bucket, blob in quality.packed_counts(keys, np.array([part[int(k)] for k in keys]), 61):
+            blobs[bucket].append(blob)
+    for held in blobs.values():
+        got |= dict(zip(*(x.tolist() for x in quality.added_counts(held))))
+    assert got == want and len(blobs) == 8
+
+
+def test_copies_are_asked_for_once_and_trained_on_each_time(spark):
+    rows = [(1, "a b c", "en"), (2, "a b c", "en"), (3, "d e", "en"), (4, "d e", "de"), (5, "f", "en"), (None, "f", "en"), (6, None, "en")]
+    table = spark.createDataFrame(rows, DOCS).repartition(3)
+    sample = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    model = quality.fit(table, sample)
+    keys = table.select("doc_id", quality.text_key())
+    asked = [(bytes(r["raw"]), r["trained"]) for r in quality.asked_texts(table, model, keys).collect()]
+    assert sorted(asked) == [(b"", False), (b"a b c", True), (b"a b c", True), (b"d e", False), (b"f", False)]
+    assert quality.scores(table, model).count() == 3
