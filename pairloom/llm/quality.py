@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.common import WORD, arrow_schema, few_broadcast, free_name, give_back_memory, lean, map_batches, raw
+from pairloom.llm.common import WORD, arrow_schema, few_broadcast, free_name, give_back_memory, lean, map_batches, pack_columns, raw, unpack_columns
 from pairloom.llm.neardup import text_key
 from pairloom.llm.words import Words, mixed, word_slices
 from pairloom.session import stored
@@ -198,37 +198,20 @@ def _shares(context: np.ndarray, counts: np.ndarray, d: list[float]) -> tuple[np
     return (counts - off) / np.repeat(total, np.diff(np.r_[starts, len(counts)])), starts, np.add.reduceat(off, starts) / total
 
 
-def _planes(column: np.ndarray) -> bytes:
-    """Numbers as four stretches of bytes, of which the high ones are mostly zeros."""
-    return column.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _packed(*columns: np.ndarray) -> bytes:
-    body = b"".join(map(_planes, columns))
-    return len(body).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(body, asbytes=True)
-
-
-def _unpacked(blob: bytes, width: int) -> list[np.ndarray]:
-    size = int.from_bytes(blob[:8], "little")
-    body = np.frombuffer(pa.decompress(blob[8:], size, codec="zstd", asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
-    planes = body.reshape(width, 4, -1)
-    return [np.ascontiguousarray(p.T).view("<i4").reshape(-1) for p in planes]
-
-
 def packed_counts(keys: np.ndarray, n: np.ndarray, shift: int) -> Iterator[tuple[int, bytes]]:
     """(bucket, packed keys and counts) of sorted 64-bit keys; a bucket is what ``shift`` leaves of a key."""
     bucket = keys >> _U(shift)
     starts = _runs(bucket)
     for low, high in zip(starts, np.r_[starts[1:], len(keys)]):
         steps = np.diff(keys[low:high], prepend=_U(0)).view("<i4").reshape(-1, 2)
-        yield int(bucket[low]), _packed(steps[:, 0], steps[:, 1], n[low:high])
+        yield int(bucket[low]), pack_columns(steps[:, 0], steps[:, 1], n[low:high])
 
 
 def added_counts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(keys, counts) of several packed blobs, each key once."""
     parts = []
     for blob in blobs:
-        low, high, n = _unpacked(blob, 3)
+        low, high, n = unpack_columns(blob, 3)
         parts.append((np.cumsum(np.stack([low, high], axis=1).view(_U).reshape(-1), dtype=_U), n))
     keys, n = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(keys, kind="stable")
@@ -267,11 +250,11 @@ def pack_grams(a: np.ndarray, b: np.ndarray, c: np.ndarray, text: np.ndarray, n:
     start = np.arange(len(b)) == 0
     new_b = start | (b != np.r_[0, b[:-1]])
     new_a = new_b | (a != np.r_[0, a[:-1]])
-    return _packed(_steps(b, start), _steps(a, new_b), _steps(c, new_a), text, n)
+    return pack_columns(_steps(b, start), _steps(a, new_b), _steps(c, new_a), text, n)
 
 
 def unpack_grams(blob: bytes) -> tuple[np.ndarray, ...]:
-    db, da, dc, text, n = _unpacked(blob, 5)
+    db, da, dc, text, n = unpack_columns(blob, 5)
     start = np.arange(len(db)) == 0
     new_b = start | (db != 0)
     new_a = new_b | (da != 0)
@@ -474,7 +457,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> Fitted:
         held, shard = layout.value, table.column("shard")[0].as_py()
         zero, b, c, n = _added(table.column("blob").to_pylist(), len(held.words))
         words, times = np.unique(c, return_counts=True)
-        rows = [(COUNTS, shard, 0, _count_counts(n)), (UNIGRAMS, shard, 0, _packed(words, times))]
+        rows = [(COUNTS, shard, 0, _count_counts(n)), (UNIGRAMS, shard, 0, pack_columns(words, times))]
         parts = held.parts(b)
         for j in range(int(parts.max(initial=0))):
             at = parts > j
@@ -484,7 +467,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> Fitted:
     def unigrams_of(batch):
         wide = max(0, len(layout.value.words).bit_length() - bits)
         for blob in batch.column("blob").to_pylist():
-            words, times = _unpacked(blob, 2)
+            words, times = unpack_columns(blob, 2)
             if len(words):
                 yield _buckets(packed_counts(words.astype(_U), times, wide))
 
@@ -602,7 +585,7 @@ def scores(docs: DataFrame, model: Fitted, keys: DataFrame | None = None) -> Dat
                 p = np.log(shard_model.chances(*(words[x[starts]] for x in (a, b, c))))
                 sums = np.bincount(text, np.repeat(p, np.diff(np.r_[starts, len(a)])) * n)
                 own = np.flatnonzero(np.bincount(text))
-                rows.append((ASKED, 0, stretch, _packed(np.diff(own, prepend=0), sums[own].astype("<f4").view("<i4"))))
+                rows.append((ASKED, 0, stretch, pack_columns(np.diff(own, prepend=0), sums[own].astype("<f4").view("<i4"))))
         return pa.Table.from_batches([_rows(rows)])
 
     def added(table):
@@ -611,7 +594,7 @@ def scores(docs: DataFrame, model: Fitted, keys: DataFrame | None = None) -> Dat
         total = np.zeros(len(keys))
         for kind, blob in zip(kinds, blobs):
             if kind == ASKED:
-                own, sums = _unpacked(blob, 2)
+                own, sums = unpack_columns(blob, 2)
                 total[np.cumsum(own)] += np.ascontiguousarray(sums).view("<f4")
         return pa.table([pa.array(x) for x in (keys, n_tokens, n_distinct, total)], schema=arrow_schema(SCORE))
 

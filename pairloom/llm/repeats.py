@@ -5,8 +5,10 @@ the hashes of its runs of ``prefix`` tokens, the place of the smallest. Equal
 stretches have equal anchors at the same place in them, so a stretch can occur twice
 only where its anchor's run does. That gives, for any operator on repeats:
 
-1. anchors, about two in ``length - prefix`` tokens, are counted by the hash of their
-   run; those that occur once are gone;
+1. anchors, about two in ``length - prefix`` tokens, are dealt by the hash of their
+   run to buckets, packed and each once; a bucket tells which of its runs occur twice and hands their
+   places back. Runs that occur twice in a few megabytes of text are known without that: their bucket gets one
+   mark, their places go anywhere, so a frequent run has no more rows in a bucket than there are such stretches of text;
 2. around each anchor left, the document yields a fragment: the tokens of all
    stretches that hold the anchor there;
 3. equal fragments become one with its number of copies and its first occurrence,
@@ -29,13 +31,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.common import arrow_schema, map_batches, raw
+from pairloom.llm.common import arrow_schema, give_back_memory, lean, map_batches, pack_columns, raw, unpack_columns
 from pairloom.llm.words import find_words, mixed, powers, slices
 from pairloom.session import stored
 
 GROUP = 512
 _U = np.uint64
-ANCHOR = "run bigint, text_key bigint, place bigint"
+#: Text bytes whose anchors a task packs at once, and those a bucket holds anchors of
+STRETCH = 8 << 20
+BUCKET = 32 << 20
+ANCHOR = "bucket bigint, keys binary, anchors binary, marks binary, known binary"
+PLACE = "text_key bigint, place bigint"
 FRAGMENT = "run bigint, body bigint, text_key bigint, place bigint, doc_id bigint, copies bigint, back int, ahead int, tokens binary"
 SPAN = "text_key bigint, low bigint, high bigint"
 
@@ -118,24 +124,100 @@ def text_groups(docs: DataFrame) -> DataFrame:
 
 def repeated_anchors(docs: DataFrame, plan: Plan) -> DataFrame:
     """Per text with any: the places of its anchors that occur elsewhere too."""
-    schema = arrow_schema(ANCHOR)
-
-    def find(batch):
-        keys = batch.column("text_key").to_numpy()
-        for low, high, data, edges in slices(batch.column("raw")):
-            values, _, first = tokens_of(plan, data, edges)
-            run = runs(values, plan.prefix)
-            place, of = anchors(plan, run, np.asarray(first))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(run[place].view(np.int64)), pa.array(keys[low:high][of]), pa.array(place - np.asarray(first)[of]),
-            ], schema=schema)
-
-    found = map_batches(docs.select(text_key(), raw()), find, ANCHOR)
-    twice = stored(
-        found.groupBy("run").agg(*[f(c).alias(f"{n}_{c}") for c in ("text_key", "place") for n, f in (("min", F.min), ("max", F.max))])
-        .where("min_text_key <> max_text_key or min_place <> max_place").select("run"), "runs",
-    )
-    return stored(found.join(twice, "run").groupBy("text_key").agg(F.collect_set("place").alias("places")), "anchors")
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    bits = (max(8, size // BUCKET) - 1).bit_length()
+
+    def find(batches):
+        held, n_bytes = [], 0
+        for batch in batches:
+            keys = batch.column("text_key").to_numpy()
+            for low, high, data, edges in slices(batch.column("raw")):
+                values, _, first = tokens_of(plan, data, edges)
+                run, first = runs(values, plan.prefix), np.asarray(first)
+                place, of = anchors(plan, run, first)
+                held.append((run[place], keys[low:high][of], (place - first[of]).astype(np.int32)))
+                n_bytes += len(data)
+                if n_bytes >= STRETCH:
+                    yield pack_anchors(*map(np.concatenate, zip(*held)), bits)
+                    held, n_bytes = [], 0
+        if held:
+            yield pack_anchors(*map(np.concatenate, zip(*held)), bits)
+        del held
+        give_back_memory()
+
+    packed = docs.select(text_key(), raw()).mapInArrow(find, ANCHOR)
+    twice = packed.groupBy("bucket").applyInArrow(lean(repeated_places), PLACE)
+    return stored(twice.groupBy("text_key").agg(F.collect_set("place").alias("places")), "anchors")
+
+
+def _repeated(run: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by run, first of each run in it, whether the run stands in two places)."""
+    order = np.argsort(run, kind="stable")
+    run, key, place = run[order], key[order], place[order]
+    starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]][: len(run)])
+    if not len(run):
+        return order, starts, np.zeros(0, bool)
+    first = np.repeat(starts, np.diff(np.r_[starts, len(run)]))
+    return order, starts, np.logical_or.reduceat((key != key[first]) | (place != place[first]), starts)
+
+
+def pack_anchors(run: np.ndarray, key: np.ndarray, place: np.ndarray, bits: int) -> pa.RecordBatch:
+    """``ANCHOR`` rows of a stretch of text, whose anchors come text by text: to the bucket of each run its
+    anchors, or a mark that it is repeated; places known to be repeated go to the bucket of their text."""
+    order, starts, twice = _repeated(run, key, place)
+    known = np.zeros(len(run), bool)
+    known[order] = np.repeat(twice, np.diff(np.r_[starts, len(run)]))
+    marks = run[order[starts[twice]]]
+    bucket_of = lambda x: (x >> _U(64 - bits)).astype(np.int64)
+    rest, sure = np.flatnonzero(~known), np.flatnonzero(known)
+    rows = {}
+    for i, at in _by_bucket(bucket_of(run[rest]), rest):
+        rows.setdefault(i, [b"", b"", b"", b""])[:2] = _placed(key[at], place[at], run[at])
+    for i, at in _by_bucket(bucket_of(marks), np.arange(len(marks))):
+        rows.setdefault(i, [b"", b"", b"", b""])[2] = marks[at].tobytes()
+    for i, at in _by_bucket(bucket_of(mixed(key[sure].view(_U))), sure):
+        keys, blob = _placed(key[at], place[at], np.zeros(0, _U))
+        rows.setdefault(i, [b"", b"", b"", b""])[3] = len(keys).to_bytes(8, "little") + keys + blob
+    columns = [list(rows), *zip(*rows.values())] if rows else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow_schema(ANCHOR))], schema=arrow_schema(ANCHOR))
+
+
+def _by_bucket(bucket: np.ndarray, rows: np.ndarray):
+    """(bucket, its ``rows`` in their order) of each."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
+    for low, high in zip(edges, np.r_[edges[1:], len(bucket)]):
+        yield int(bucket[low]), rows[order[low:high]]
+
+
+def _placed(key: np.ndarray, place: np.ndarray, run: np.ndarray) -> tuple[bytes, bytes]:
+    """(text keys, packed steps of texts and places), followed by the runs; a text's places stand together."""
+    fresh = np.r_[True, key[1:] != key[:-1]][: len(key)]
+    steps = np.where(fresh, place, place - np.r_[0, place[:-1]])
+    blob = pack_columns(fresh.astype(np.int32), steps)
+    return key[fresh].tobytes(), len(blob).to_bytes(8, "little") + blob + run.tobytes()
+
+
+def _unplaced(keys: bytes, blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = 8 + int.from_bytes(blob[:8], "little")
+    fresh, steps = unpack_columns(blob[8:size], 2)
+    text, sums, starts = np.cumsum(fresh) - 1, np.cumsum(steps, dtype=np.int64), np.flatnonzero(fresh)
+    place = sums - (sums[starts] - steps[starts])[text]
+    return np.frombuffer(blob[size:], _U), np.frombuffer(keys, np.int64)[text], place
+
+
+def repeated_places(table: pa.Table) -> pa.Table:
+    """``PLACE`` rows of one bucket: the places of its runs that occur twice, and those known before."""
+    keys, blobs, marks, known = (table.column(c).to_pylist() for c in ("keys", "anchors", "marks", "known"))
+    none = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    run, key, place = map(np.concatenate, zip(none, *(_unplaced(k, x) for k, x in zip(keys, blobs) if x)))
+    order, starts, twice = _repeated(run, key, place)
+    twice |= np.isin(run[order[starts]], np.frombuffer(b"".join(marks), _U))
+    out = order[np.repeat(twice, np.diff(np.r_[starts, len(run)]))]
+    sure = [_unplaced(x[8 : 8 + (n := int.from_bytes(x[:8], "little"))], x[8 + n :])[1:] for x in known if x]
+    text, at = map(np.concatenate, zip((key[out], place[out]), *sure))
+    return pa.table([pa.array(text), pa.array(at)], schema=arrow_schema(PLACE))
 
 
 def fragments(docs: DataFrame, texts: DataFrame, places: DataFrame, plan: Plan) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow.compute  # noqa: F401
 import pytest
 from test_operators import sorted_rows, word_repeats
 
@@ -27,3 +28,42 @@ def test_long_words_of_a_doubling_pattern_differ(spark):
     rows = [(i, " ".join([*rest[:30], w, *rest[30:]])) for i, w in enumerate((one, other))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted_rows(suffixtrees.remove_repeats(docs), *COLUMNS) == word_repeats(rows, 35)
+
+
+def test_repeated_anchors_from_packed_stretches():
+    """Runs within one stretch, across stretches, in copies of one text only, and a frequent one."""
+    np = repeats.np
+    draw = random.Random(2)
+    runs = [draw.randrange(1 << 64) for _ in range(400)]
+    texts = [[(draw.choice(runs[:300]), place) for place in range(0, 3 * draw.randint(1, 9), 3)] + [(runs[399], 90)] for _ in range(30)]
+    texts += [[(runs[300 + i], 5), (runs[350], 7 + i)] for i in range(20)]
+    stretches = [[draw.randrange(len(texts)) for _ in range(15)] for _ in range(6)]
+    seen, want, rows = {}, set(), []
+    for chosen in stretches:
+        for t in chosen:
+            for run, place in texts[t]:
+                seen.setdefault(run, set()).add((t - 9, place))
+        columns = zip(*((run, t - 9, place) for t in chosen for run, place in texts[t]))
+        kinds = np.uint64, np.int64, np.int32
+        rows.append(repeats.pack_anchors(*(np.array(c, k) for c, k in zip(columns, kinds)), 3))
+    for places in seen.values():
+        want |= places if len(places) > 1 else set()
+    table = repeats.pa.Table.from_batches(rows)
+    got, frequent = set(), 0
+    for bucket in range(8):
+        part = table.filter(repeats.pa.compute.equal(table.column("bucket"), bucket))
+        if len(part):
+            got |= set(zip(*(c.to_pylist() for c in repeats.repeated_places(part).columns)))
+        frequent += sum(np.frombuffer(m, np.uint64).tolist().count(runs[399]) for m in part.column("marks").to_pylist())
+    assert got == want and len(want) < sum(map(len, seen.values()))
+    assert 0 < frequent <= len(stretches)  # a frequent run has one mark in a stretch, whatever the places it has there
+
+
+def test_anchors_are_read_and_shuffled_once(spark, monkeypatch):
+    draw = random.Random(3)
+    rows = [(i, " ".join(draw.choice("abc") for _ in range(90))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    calls = []
+    monkeypatch.setattr(repeats, "stored", lambda df, name="table": calls.append(name) or df)
+    repeats.repeated_anchors(docs, repeats.Plan(True, 35, 12))
+    assert calls == ["anchors"]
