@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.common import arrow_schema, give_back_memory, lean, map_batches, pack_columns, raw, unpack_columns
+from pairloom.llm.common import BROADCAST_ROWS, arrow_schema, few_broadcast, give_back_memory, lean, map_batches, pack_columns, raw, unpack_columns
 from pairloom.llm.words import find_words, mixed, powers, slices
 from pairloom.session import stored
 
@@ -39,7 +39,7 @@ GROUP = 512
 _U = np.uint64
 #: Text bytes whose anchors a task packs at once, and those a bucket holds anchors of
 STRETCH = 8 << 20
-BUCKET = 32 << 20
+BUCKET = 8 << 20
 ANCHOR = "bucket bigint, keys binary, anchors binary, marks binary, known binary"
 PLACE = "text_key bigint, place bigint"
 FRAGMENT = "run bigint, body bigint, text_key bigint, place bigint, doc_id bigint, copies bigint, back int, ahead int, tokens binary"
@@ -204,20 +204,20 @@ def _unplaced(keys: bytes, blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndar
     fresh, steps = unpack_columns(blob[8:size], 2)
     text, sums, starts = np.cumsum(fresh) - 1, np.cumsum(steps, dtype=np.int64), np.flatnonzero(fresh)
     place = sums - (sums[starts] - steps[starts])[text]
-    return np.frombuffer(blob[size:], _U), np.frombuffer(keys, np.int64)[text], place
+    return np.frombuffer(blob[size:], _U), np.frombuffer(keys, np.int64)[text], place.astype(np.int32)
 
 
 def repeated_places(table: pa.Table) -> pa.Table:
     """``PLACE`` rows of one bucket: the places of its runs that occur twice, and those known before."""
     keys, blobs, marks, known = (table.column(c).to_pylist() for c in ("keys", "anchors", "marks", "known"))
-    none = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    none = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int32)
     run, key, place = map(np.concatenate, zip(none, *(_unplaced(k, x) for k, x in zip(keys, blobs) if x)))
     order, starts, twice = _repeated(run, key, place)
     twice |= np.isin(run[order[starts]], np.frombuffer(b"".join(marks), _U))
     out = order[np.repeat(twice, np.diff(np.r_[starts, len(run)]))]
     sure = [_unplaced(x[8 : 8 + (n := int.from_bytes(x[:8], "little"))], x[8 + n :])[1:] for x in known if x]
     text, at = map(np.concatenate, zip((key[out], place[out]), *sure))
-    return pa.table([pa.array(text), pa.array(at)], schema=arrow_schema(PLACE))
+    return pa.table([pa.array(text), pa.array(at.astype(np.int64))], schema=arrow_schema(PLACE))
 
 
 def fragments(docs: DataFrame, texts: DataFrame, places: DataFrame, plan: Plan) -> DataFrame:
@@ -251,7 +251,9 @@ def fragments(docs: DataFrame, texts: DataFrame, places: DataFrame, plan: Plan)
 
     wanted = stored(places.join(texts, "text_key"), "wanted")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(), raw())
-    met = rows.join(wanted, "text_key").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    # texts without such places, and copies, aren't shuffled
+    one = rows.join(few_broadcast(wanted.select("text_key", "least")), "text_key").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    met = one.drop("least").join(wanted, "text_key")
     return stored(map_batches(met.select("text_key", "doc_id", "copies", "places", "raw"), cut, FRAGMENT), "fragments")
 
 
@@ -360,6 +362,17 @@ def stretch_hashes(matrix: np.ndarray, plan: Plan):
     return mixed((sums[:, columns + plan.length] - sums[:, columns]) * down[columns]), columns
 
 
+def with_info(rows: DataFrame, info: DataFrame) -> DataFrame:
+    """``rows`` with the row of ``info`` of their text, if any. Only texts that have one are shuffled, unless they are too
+    many for their keys to be broadcast."""
+    keys = info.select("text_key").withColumn("_met", F.lit(True))
+    if keys.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return rows.join(info, "text_key", "left")
+    flagged = rows.join(F.broadcast(keys), "text_key", "left")
+    met = flagged.where("_met").drop("_met").join(info, "text_key")
+    return met.unionByName(flagged.where("_met is null").drop("_met"), allowMissingColumns=True)
+
+
 def results(docs: DataFrame, texts: DataFrame, one: DataFrame, found: DataFrame, spans: DataFrame, plan: Plan, ordered: bool, change: Callable, schema: str) -> DataFrame:
     """``change`` on the bytes and the covered tokens of every document; all tokens of a text
     that a copy of its own makes repeated are covered."""
@@ -370,11 +383,11 @@ def results(docs: DataFrame, texts: DataFrame, one: DataFrame, found: DataFrame,
         others = others.where((F.col("text_key") != F.col("first_key")) | (F.col("place") != F.col("first_place")))
     full = others.select("text_key", (F.col("place") - F.col("back")).alias("low"), (F.col("place") + F.col("ahead")).alias("high"))
     merged = spans.union(full).groupBy("text_key").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    info = stored(texts.join(merged, "text_key", "left"), "spans")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(), raw()).join(info, "text_key")
-    whole = F.col("copies") > 1
+    info = stored(texts.join(merged, "text_key", "left").where("copies > 1 or spans is not null"), "spans")
+    rows = with_info(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(), raw()), info)
+    whole = F.coalesce(F.col("copies") > 1, F.lit(False))
     if ordered:
-        whole = ~F.col("doc_id").eqNullSafe(F.col("least"))
+        whole &= ~F.col("doc_id").eqNullSafe(F.col("least"))
     lows, highs = (F.coalesce(F.col(f"spans.{n}"), F.array().cast("array<bigint>")).alias(f"{n}s") for n in ("low", "high"))
     return map_batches(rows.select("doc_id", "raw", whole.alias("whole"), lows, highs), change, schema)
 

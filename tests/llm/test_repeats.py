@@ -67,3 +67,14 @@ def test_anchors_are_read_and_shuffled_once(spark, monkeypatch):
     monkeypatch.setattr(repeats, "stored", lambda df, name="table": calls.append(name) or df)
     repeats.repeated_anchors(docs, repeats.Plan(True, 35, 12))
     assert calls == ["anchors"]
+
+
+@pytest.mark.parametrize("most", [4_000_000, 1])
+def test_only_texts_with_spans_meet_them(spark, monkeypatch, most):
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", most)
+    rows = spark.createDataFrame([(1, 10, b"a"), (2, 10, b"a"), (None, 20, b"b"), (4, 30, b"c")], "doc_id long, text_key long, raw binary")
+    info = spark.createDataFrame([(10, 2, 1, None), (30, 1, 4, [(0, 5)])], "text_key long, copies long, least long, spans array<struct<low:long,high:long>>")
+    met = repeats.with_info(rows, info)
+    got = sorted(((r["doc_id"], r["copies"], r["least"], r["spans"]) for r in met.collect()), key=str)
+    assert got == [(1, 2, 1, None), (2, 2, 1, None), (4, 1, 4, [(0, 5)]), (None, None, None, None)]
+    assert ("Union" in met._jdf.queryExecution().toString()) == (most > 1)
