@@ -10,15 +10,18 @@ only where its anchor's run does. That gives, for any operator on repeats:
    places back. Runs that occur twice in a few megabytes of text are known without that: their bucket gets one
    mark, their places go anywhere, so a frequent run has no more rows in a bucket than there are such stretches of text;
 2. around each anchor left, the document yields a fragment: the tokens of all
-   stretches that hold the anchor there;
+   stretches that hold the anchor there, known by a hash until they are compared;
 3. equal fragments become one with its number of copies and its first occurrence,
    before anything is grouped by anchor; a passage in every third document is then
    one row but at its ends;
-4. fragments of one anchor are compared by the operator's own method; anchors with
+4. tokens are cut out of the texts for anchors with several different fragments only, once for each fragment.
+   Those of one anchor are compared by the operator's own method; anchors with
    more than ``GROUP`` different fragments are cut up by their stretches instead, which
    are counted and joined like any other key, so no group is unbounded;
 5. each fragment gives one covered interval, as its stretches all hold the anchor.
 
+Shuffle files are let go after each of these steps.
+
 Copies of a whole text are found by its MD5 first, and only one of them is read.
 """
 
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm.common import BROADCAST_ROWS, arrow_schema, few_broadcast, give_back_memory, lean, map_batches, pack_columns, raw, unpack_columns
 from pairloom.llm.words import find_words, mixed, powers, slices
-from pairloom.session import stored
+from pairloom.session import drop_shuffles, stored
 
 GROUP = 512
 _U = np.uint64
@@ -42,7 +45,8 @@ STRETCH = 8 << 20
 BUCKET = 8 << 20
 ANCHOR = "bucket bigint, keys binary, anchors binary, marks binary, known binary"
 PLACE = "text_key bigint, place bigint"
-FRAGMENT = "run bigint, body bigint, text_key bigint, place bigint, doc_id bigint, copies bigint, back int, ahead int, tokens binary"
+FRAGMENT = "run bigint, body bigint, text_key bigint, place bigint, doc_id bigint, copies bigint, back int, ahead int"
+BODY = "run bigint, text_key bigint, place bigint, doc_id bigint, copies bigint, back int, ahead int, hot boolean, tokens binary"
 SPAN = "text_key bigint, low bigint, high bigint"
 
 
@@ -220,16 +224,24 @@ def repeated_places(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(text), pa.array(at.astype(np.int64))], schema=arrow_schema(PLACE))
 
 
+def _one_row_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (``text_key``, ``least``, ...) with the bytes of its text, from the rows of the smallest id: of a table with
+    equal rows more than one. Other texts, and copies, aren't shuffled."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(), raw())
+    one = rows.join(few_broadcast(wanted.select("text_key", "least")), "text_key").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    return one.drop("doc_id", "least").join(wanted, "text_key")
+
+
 def fragments(docs: DataFrame, texts: DataFrame, places: DataFrame, plan: Plan) -> DataFrame:
-    """The fragments around repeated anchors of one row of each text, stored."""
+    """The fragments around repeated anchors of one row of each text, by their hashes; stored."""
     schema = arrow_schema(FRAGMENT)
 
     def cut(batch):
-        names = ("text_key", "doc_id", "copies")
+        names = ("text_key", "least", "copies")
         columns = {c: batch.column(c) for c in names}
         lists = batch.column("places").to_pylist()
         for low, high, data, edges in slices(batch.column("raw")):
-            values, tokens, first = tokens_of(plan, data, edges)
+            values, _, first = tokens_of(plan, data, edges)
             run, first = runs(values, plan.prefix), np.asarray(first)
             counts = [len(x) for x in lists[low:high]]
             of = np.repeat(np.arange(high - low), counts)
@@ -239,32 +251,55 @@ def fragments(docs: DataFrame, texts: DataFrame, places: DataFrame, plan: Plan)
             ahead = np.minimum(first[1:][of] - at, plan.length)
             whole = back + ahead >= plan.length
             of, place, at, back, ahead = of[whole], place[whole], at[whole], back[whole], ahead[whole]
-            bodies = [tokens[s:e].tobytes() for s, e in zip(at - back, at + ahead)]
             up, down = powers(len(values) + 1)
             sums = np.r_[_U(0), np.cumsum(values * up[: len(values)])]
             body = mixed((sums[at + ahead] - sums[at - back]) * down[at - back] + mixed((back * 1024 + ahead).astype(_U)))
             ids = [columns[c].slice(low, high - low).take(pa.array(of)) for c in names]
             yield pa.RecordBatch.from_arrays([
                 pa.array(run[at].view(np.int64)), pa.array(body.view(np.int64)), ids[0], pa.array(place), ids[1], ids[2],
-                pa.array(back.astype(np.int32)), pa.array(ahead.astype(np.int32)), pa.array(bodies, pa.binary()),
+                pa.array(back.astype(np.int32)), pa.array(ahead.astype(np.int32)),
             ], schema=schema)
 
     wanted = stored(places.join(texts, "text_key"), "wanted")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(), raw())
-    # texts without such places, and copies, aren't shuffled
-    one = rows.join(few_broadcast(wanted.select("text_key", "least")), "text_key").where(F.col("doc_id").eqNullSafe(F.col("least")))
-    met = one.drop("least").join(wanted, "text_key")
-    return stored(map_batches(met.select("text_key", "doc_id", "copies", "places", "raw"), cut, FRAGMENT), "fragments")
-
-
-ONE = "run bigint, text_key bigint, place bigint, doc_id bigint, copies bigint, back int, ahead int, tokens binary"
+    met = _one_row_each(docs, wanted)
+    return stored(map_batches(met.select("text_key", "least", "copies", "places", "raw"), cut, FRAGMENT), "fragments")
 
 
 def unified(found: DataFrame) -> DataFrame:
     """Equal fragments as one row: their copies, and the first of them. Stored."""
+    drop_shuffles(found.sparkSession)
     order = F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "text_key", "place")).alias("first")
-    one = found.groupBy("run", "body", "back", "ahead").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("held"), order, F.min("tokens").alias("tokens"))
-    return stored(one.select("run", "body", "first.text_key", "first.place", "first.doc_id", "copies", "held", "back", "ahead", "tokens"), "unified")
+    one = found.groupBy("run", "body", "back", "ahead").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("held"), order)
+    return stored(one.select("run", "body", "first.text_key", "first.place", "first.doc_id", "copies", "held", "back", "ahead"), "unified")
+
+
+def bodies(docs: DataFrame, texts: DataFrame, one: DataFrame, plan: Plan) -> DataFrame:
+    """``BODY`` rows of the fragments of ``unified`` whose anchor has others, stored; ``hot`` if it has over ``GROUP``. A
+    fragment has more than one row if its text stands in equal rows."""
+    schema = arrow_schema(BODY)
+    names = ("place", "run", "doc_id", "copies", "back", "ahead", "hot")
+
+    def cut(batch):
+        lists, keys = batch.column("wanted"), batch.column("text_key")
+        for low, high, data, edges in slices(batch.column("raw")):
+            _, tokens, first = tokens_of(plan, data, edges)
+            part = lists.slice(low, high - low)
+            of, flat = np.repeat(np.arange(high - low), part.value_lengths().to_numpy()), part.flatten()
+            columns = dict(zip(names, flat.flatten()))
+            place, back, ahead = (columns[c].to_numpy() for c in ("place", "back", "ahead"))
+            at = place + np.asarray(first)[of]
+            cuts = [tokens[s:e].tobytes() for s, e in zip(at - back, at + ahead)]
+            own = columns | {"text_key": keys.slice(low, high - low).take(pa.array(of)), "tokens": pa.array(cuts, pa.binary())}
+            yield pa.RecordBatch.from_arrays([own[c] for c in schema.names], schema=schema)
+
+    sizes = stored(one.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run", (F.col("n") > GROUP).alias("hot")), "groups")
+    listed = one.join(sizes, "run").groupBy("text_key").agg(F.collect_list(F.struct(*names)).alias("wanted"))
+    wanted = stored(listed.join(texts.select("text_key", "least"), "text_key"), "wanted")
+    drop_shuffles(one.sparkSession)
+    met = _one_row_each(docs, wanted)
+    cuts = stored(map_batches(met.select("text_key", "wanted", "raw"), cut, BODY), "bodies")
+    drop_shuffles(one.sparkSession)
+    return cuts
 
 
 def _by_group(batches, change):
@@ -284,16 +319,17 @@ def _by_group(batches, change):
         yield from change(rest)
 
 
-def covered(one: DataFrame, plan: Plan, compare: Callable, ordered: bool) -> DataFrame:
+def covered(cuts: DataFrame, plan: Plan, compare: Callable, ordered: bool) -> DataFrame:
     """(``text_key``, ``low``, ``high``): tokens covered by repeated stretches, for the first
-    occurrence of each fragment. ``compare`` tells the fragments of a table of
-    groups which stretches are repeated: (smallest, largest) steps back, or none."""
+    occurrence of each fragment of ``bodies``. ``compare`` tells the fragments of a table of
+    groups which stretches are repeated: (smallest, largest) steps back, or none. Stored."""
     schema = arrow_schema(SPAN)
-    sizes = stored(one.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "groups")
-    small = one.join(sizes.where(F.col("n") <= GROUP).select("run"), "run")
     names = ["run", "text_key", "place", "doc_id", "copies", "back", "ahead", "tokens"]
 
     def group(table):
+        run, key, at = (table.column(c).to_numpy() for c in ("run", "text_key", "place"))
+        fresh = np.r_[True, (run[1:] != run[:-1]) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])]
+        table = table if fresh.all() else table.filter(pa.array(fresh))
         low, high = compare(table, plan)
         at = np.flatnonzero(high >= 0)
         place = table.column("place").to_numpy()[at]
@@ -301,11 +337,13 @@ def covered(one: DataFrame, plan: Plan, compare: Callable, ordered: bool) -> Dat
             pa.array(table.column("text_key").to_numpy()[at]), pa.array(place - high[at]), pa.array(place - low[at] + plan.length),
         ], schema=schema)
 
-    near = small.select(*names).repartition("run").sortWithinPartitions("run").mapInArrow(lambda b: _by_group(b, group), SPAN)
+    dealt = cuts.where("not hot").select(*names).repartition("run").sortWithinPartitions("run", "text_key", "place")
+    near = stored(dealt.mapInArrow(lambda b: _by_group(b, group), SPAN), "near")
+    drop_shuffles(cuts.sparkSession)
 
     # anchors with many fragments: each stretch is a key of its own, with the anchor and its place in
     # the stretch, as one that holds two anchors, or one anchor twice, comes from both
-    big = stored(one.join(sizes.where(F.col("n") > GROUP).select("run"), "run").select(*names), "hot")
+    big = cuts.where("hot").select(*names)
     if not big.limit(1).count():
         return near
     window = "stretch bigint, at bigint, run bigint, text_key bigint, doc_id bigint, copies bigint, low bigint"
@@ -334,7 +372,9 @@ def covered(one: DataFrame, plan: Plan, compare: Callable, ordered: bool) -> Dat
     # neighbouring stretches of a text are one span before they are shuffled on
     far = again.select("text_key", F.floor(F.col("low") / plan.length).alias("cell"), "low").groupBy("text_key", "cell").agg(F.sort_array(F.collect_set("low")).alias("lows"))
     spans = far.select("text_key", F.explode("lows").alias("low")).select("text_key", "low", (F.col("low") + plan.length).alias("high"))
-    return near.union(spans)
+    far = stored(spans, "far")
+    drop_shuffles(cuts.sparkSession)
+    return near.union(far)
 
 
 def fragment_matrix(table, plan: Plan):
@@ -378,12 +418,14 @@ def results(docs: DataFrame, texts: DataFrame, one: DataFrame, found: DataFrame,
     that a copy of its own makes repeated are covered."""
     held = F.col("copies") > 1 if not ordered else F.col("held") > 1
     first = one.where(held).select("run", "body", "back", "ahead", F.col("text_key").alias("first_key"), F.col("place").alias("first_place"))
-    others = found.drop("tokens").join(first, ["run", "body", "back", "ahead"])
+    others = found.join(first, ["run", "body", "back", "ahead"])
     if ordered:
         others = others.where((F.col("text_key") != F.col("first_key")) | (F.col("place") != F.col("first_place")))
-    full = others.select("text_key", (F.col("place") - F.col("back")).alias("low"), (F.col("place") + F.col("ahead")).alias("high"))
+    full = stored(others.select("text_key", (F.col("place") - F.col("back")).alias("low"), (F.col("place") + F.col("ahead")).alias("high")), "full")
+    drop_shuffles(docs.sparkSession)
     merged = spans.union(full).groupBy("text_key").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     info = stored(texts.join(merged, "text_key", "left").where("copies > 1 or spans is not null"), "spans")
+    drop_shuffles(docs.sparkSession)
     rows = with_info(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(), raw()), info)
     whole = F.coalesce(F.col("copies") > 1, F.lit(False))
     if ordered:

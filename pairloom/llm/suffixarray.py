@@ -160,7 +160,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX)
     texts = R.text_groups(docs)
     found = R.fragments(docs, texts, R.repeated_anchors(docs, plan), plan)
     one = R.unified(found)
-    spans = R.covered(one, plan, later_copies, ordered=True)
+    spans = R.covered(R.bodies(docs, texts, one, plan), plan, later_copies, ordered=True)
 
     def finish(batch):
         whole, lows, highs = (batch.column(c) for c in ("whole", "lows", "highs"))
